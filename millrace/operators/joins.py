@@ -23,12 +23,12 @@ def lookup(facts: DataFrame, names: DataFrame, fact_key: str, name_key: str, col
 def left_outer_where(left: DataFrame, right: DataFrame, key: str, left_condition: Column) -> DataFrame:
     """Left outer join whose match needs an equal key and a test on the left row.
 
-    All left rows stay; the test only decides whether the right side is looked up. Rows that fail
-    it carry a null key, which matches nothing and is left out of the shuffle's hot keys.
+    All left rows stay; the test only decides whether the right side is looked up. It belongs to
+    the join condition, so rows that fail it still shuffle by their own key: nulling their keys
+    instead would send all of them to one task.
     """
-    wanted = F.when(left_condition, F.col(key))
     other = right.withColumnRenamed(key, "_right_key")
-    return left.withColumn("_want", wanted).join(other, F.col("_want") == F.col("_right_key"), "left").drop("_want", "_right_key")
+    return left.join(other, (F.col(key) == F.col("_right_key")) & left_condition, "left").drop("_right_key")
 
 
 def exclude(df: DataFrame, flagged: DataFrame, key: str) -> DataFrame:

@@ -44,7 +44,7 @@ def _self_pairs(ratings: DataFrame, per_user: DataFrame, largest: int, block: in
 
 
 def co_rated_sums(
-    ratings: DataFrame, min_pairs: int = 1, block: int = 4096, heavy_rows: int = 100_000
+    ratings: DataFrame, min_pairs: int = 1, block: int = 4096, heavy_rows: int = 20_000
 ) -> DataFrame:
     """Per unordered item pair (item1 < item2): sums over the users who rated both.
 
@@ -137,4 +137,4 @@ def nearest_vectors(df: DataFrame, key: str, vector: str, target: object, k: int
     probe_norm = sum(x * x for x in row["v"]) ** 0.5
     score = F.try_divide(dot(own, probe), F.sqrt(dot(own, own)) * F.lit(probe_norm))
     scored = df.select(key, F.round(score, digits).alias("score"))
-    return scored.orderBy(F.desc_nulls_last("score"), key).limit(k)
+    return scored.orderBy(F.col(key) != target, F.desc_nulls_last("score"), key).limit(k)

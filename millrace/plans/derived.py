@@ -148,9 +148,10 @@ names AS (SELECT p_partkey * 2 AS id, p_name AS name FROM part
 # --- marker and null inputs -------------------------------------------------------------------
 
 
-def marked_orders(t: Tables) -> DataFrame:
+def marked_orders(t: Tables, *extra: str) -> DataFrame:
     """Orders whose status and priority hold a missing-value marker on some rows."""
     return t.orders.select(
+        *extra,
         "o_orderkey",
         "o_totalprice",
         F.when(F.col("o_totalprice") > 400000, "?").otherwise(F.col("o_orderpriority")).alias("priority"),

@@ -12,6 +12,7 @@ from millrace.ml import features, recommend, selection
 from millrace.ml.estimators import estimator
 from millrace.ml.evaluate import regression_metrics, silhouette
 from millrace.operators.aggregates import contingency_long
+from millrace.operators.cleaning import marker_to_mode, winsorize
 from millrace.operators.sampling import hash_split
 from millrace.plans import derived
 from millrace.plans.catalog import query
@@ -92,16 +93,13 @@ def _(t):
 def _buyers(t):
     """Orders with customer attributes, marker values included, and a train/test number."""
     buyers = t.customer.select("c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
-    marked = derived.marked_orders(t).join(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey")
-    joined = marked.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    joined = derived.marked_orders(t, "o_custkey").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
     label = F.when(F.col("status") == "F", "finished").otherwise("other")
     return hash_split(joined.withColumn("outcome", label), ["o_orderkey"], [0.7, 0.3])
 
 
 @query("ml_census_features")
 def _(t):
-    from millrace.operators.cleaning import marker_to_mode, winsorize
-
     rows = materialize(_buyers(t), "buyers")
     clipped = winsorize(rows, ["o_totalprice", "c_acctbal"])
     filled = marker_to_mode(clipped, ["priority"])
@@ -136,9 +134,8 @@ def _regress(t, name, **params):
 def _(t):
     rows = features.assembler(["l_quantity"]).transform(t.lineitem.select("l_quantity", F.col("l_extendedprice").alias("label")))
     model = estimator("linear_regression", solver="normal").fit(rows)
-    fitted = F.struct(F.lit(float(model.coefficients[0])).alias("slope"), F.lit(float(model.intercept)).alias("intercept"))
-    line = t.lineitem.agg(F.count(F.lit(1)).alias("n")).select(fitted.alias("m"))
-    return line.select(F.round("m.slope", 4).alias("slope"), F.round("m.intercept", 4).alias("intercept"))
+    line = [(round(float(model.coefficients[0]), 4), round(float(model.intercept), 4))]
+    return t.spark.createDataFrame(line, "slope double, intercept double")
 
 
 @query("ml_linear_regression_elastic")

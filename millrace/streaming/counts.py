@@ -48,14 +48,12 @@ def tag_counts(df: DataFrame, ts: str, text: str, length: str, slide: str, delay
     """Counts of words starting with ``mark`` over a long window moving in short steps.
 
     Words are first counted per step, and only these step counts are spread over the windows that
-    hold the step, so that a row is not multiplied by ``length / slide``.
+    hold the step, so that a row is not multiplied by ``length / slide``. The watermark sees every
+    row, with or without a tag, so quiet periods still close windows.
     """
-    words = df.select(ts, F.explode(tokens(F.col(text))).alias("tag")).filter(F.col("tag").startswith(mark))
-    steps = (
-        words.withWatermark(ts, delay)
-        .groupBy(F.window(ts, slide).alias("step"), "tag")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    words = df.withWatermark(ts, delay).select(ts, F.explode(tokens(F.col(text))).alias("tag"))
+    tags = words.filter(F.col("tag").startswith(mark))
+    steps = tags.groupBy(F.window(ts, slide).alias("step"), "tag").agg(F.count(F.lit(1)).alias("n"))
     return (
         steps.groupBy(F.window("step", length, slide).alias("w"), "tag")
         .agg(F.sum("n").alias("n"))
