@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.ranking import top_per_key, with_position, with_running_sums
@@ -145,37 +145,52 @@ def ranked_predictions(scored: DataFrame, score: str, k: int) -> DataFrame:
     return top.select("user_id", "item_id", "rank")
 
 
-def average_precision(ranked: DataFrame, actual: DataFrame, k: int, digits: int = 6) -> DataFrame:
-    """Average precision at ``k`` per ranked user: (user_id, n_actual, hits, ap).
+def _precision_sums(ranked: DataFrame, actual: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """Per ranked user, for every ``k`` in one pass: (user_id, n_actual, score_k, hits_k, ...).
 
-    The lists stay in long form: predictions are at most ``k`` rows per user, and a user's actual
-    items are matched by a join instead of being gathered. A user with no actual item scores 1.
+    The lists stay in long form: a user's actual items are matched by a join instead of being
+    gathered, and the window only sees the ranked rows, at most ``max(ks)`` per user.
     """
-    shown = ranked.filter(F.col("rank") <= k)
-    found = shown.join(
-        actual.select("user_id", "item_id").distinct().withColumn("hit", F.lit(1)), ["user_id", "item_id"], "left"
-    ).withColumn("hit", F.coalesce("hit", F.lit(0)))
+    shown = ranked.filter(F.col("rank") <= max(ks))
+    truth = actual.select("user_id", "item_id").distinct().withColumn("hit", F.lit(1))
+    found = shown.join(truth, ["user_id", "item_id"], "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
     w = Window.partitionBy("user_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     part = F.when(F.col("hit") == 1, F.sum("hit").over(w) / F.col("rank")).otherwise(0.0)
-    per_user = found.withColumn("part", part).groupBy("user_id").agg(F.sum("part").alias("score"), F.sum("hit").alias("hits"))
+    sums = []
+    for k in ks:
+        inside = F.col("rank") <= k
+        sums.append(F.sum(F.when(inside, F.col("part")).otherwise(0.0)).alias(f"score_{k}"))
+        sums.append(F.sum(F.when(inside, F.col("hit")).otherwise(0)).alias(f"hits_{k}"))
+    per_user = found.withColumn("part", part).groupBy("user_id").agg(*sums)
     sizes = actual.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_actual"))
-    joined = per_user.join(sizes, "user_id", "left").withColumn("n_actual", F.coalesce("n_actual", F.lit(0)))
-    ap = F.when(F.col("n_actual") == 0, 1.0).otherwise(F.try_divide(F.col("score"), F.least("n_actual", F.lit(k))))
-    return joined.select("user_id", "n_actual", "hits", F.round(ap, digits).alias("ap"))
+    return per_user.join(sizes, "user_id", "left").withColumn("n_actual", F.coalesce("n_actual", F.lit(0)))
+
+
+def _ap(k: int) -> Column:
+    return F.try_divide(F.col(f"score_{k}"), F.least("n_actual", F.lit(k)))
+
+
+def average_precision(ranked: DataFrame, actual: DataFrame, k: int, digits: int = 6) -> DataFrame:
+    """Average precision at ``k`` per ranked user: (user_id, n_actual, hits, ap).
+
+    A user with no actual item scores 1.
+    """
+    ap = F.when(F.col("n_actual") == 0, 1.0).otherwise(_ap(k))
+    sums = _precision_sums(ranked, actual, [k])
+    return sums.select("user_id", "n_actual", F.col(f"hits_{k}").alias("hits"), F.round(ap, digits).alias("ap"))
 
 
 def map_at_k(ranked: DataFrame, actual: DataFrame, ks: Sequence[int], digits: int = 6) -> DataFrame:
     """Mean average precision for several ``k``; users without actual items add nothing to the sum."""
-    out = None
-    for k in ks:
-        per_user = average_precision(ranked, actual, k, digits=12)
-        one = per_user.agg(
-            F.lit(k).alias("k"),
-            F.count(F.lit(1)).alias("users"),
-            F.round(F.sum(F.when(F.col("n_actual") > 0, F.col("ap")).otherwise(0.0)) / F.count(F.lit(1)), digits).alias("map"),
+    n = F.count(F.lit(1))
+    rows = [
+        F.struct(
+            F.lit(k).alias("k"), n.alias("users"), F.round(F.sum(F.coalesce(_ap(k), F.lit(0.0))) / n, digits).alias("map")
         )
-        out = one if out is None else out.unionByName(one)
-    return out
+        for k in ks
+    ]
+    one = _precision_sums(ranked, actual, ks).agg(F.array(*rows).alias("m"))
+    return one.select(F.explode("m").alias("m")).select("m.*")
 
 
 def silhouette(df: DataFrame, cluster: str = "prediction", features: str = "features", distance: str = "squaredEuclidean") -> float:

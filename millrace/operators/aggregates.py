@@ -157,19 +157,26 @@ def pearson_pairs(df: DataFrame, columns: Sequence[str], full: bool = False, dig
     return df.agg(F.array(*rows).alias("m")).select(F.explode("m").alias("m")).select("m.*")
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], error: float = 0.001) -> DataFrame:
     """Discrete quantiles (the smallest value with at least ``p`` of the rows at or below it).
 
-    All columns in one job. Equal values collapse before the sort, and the cumulative counts are
-    formed per sort partition, so neither the driver nor one task holds a column.
+    Two scans and no full sort. A sketch with a guaranteed rank error brackets each wanted value;
+    then rows inside a bracket are counted per value and rows between brackets only per gap. What
+    is left to sort is the few values inside the brackets, and the answer is exact.
     """
-    counts = (
-        unpivot(df, columns, "double")
-        .filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    run = with_running_sums(counts, [F.col("column"), F.col("value")], {"upto": F.col("n")})
+    ends = [min(max(p + d * error, 0.0), 1.0) for p in probs for d in (-2, 2)]
+    sketch = dict(zip(columns, df.approxQuantile(list(columns), ends, error)))
+    brackets = {c: _merged(list(zip(v[::2], v[1::2]))) for c, v in sketch.items() if v}
+    if not brackets:
+        return df.sparkSession.createDataFrame([], "column string, prob double, value double")
+    cells = [
+        F.struct(F.lit(c).alias("column"), *_bracket_cell(F.col(f"`{c}`").cast("double"), found))
+        for c, found in brackets.items()
+    ]
+    flat = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").filter(F.col("value").isNotNull())
+    counts = flat.groupBy("column", "value", "side").agg(F.count(F.lit(1)).alias("n"))
+    order = [F.col("column"), F.col("value"), F.col("side")]
+    run = with_running_sums(counts, order, {"upto": F.col("n")})
     bounds = run.groupBy("column").agg(F.min(F.col("upto") - F.col("n")).alias("base"), F.sum("n").alias("total"))
     # one row per column name, which is what bounds this broadcast
     placed = run.join(F.broadcast(bounds), "column")
@@ -181,7 +188,28 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         target = F.greatest(F.ceil(p * F.col("total")), F.lit(1))
         return (target > rank_lo) & (target <= rank_hi)
 
-    return placed.select("column", F.explode(F.filter(wanted, hit)).alias("prob"), "value")
+    exact = F.when(F.col("side") == 0, F.col("value")).otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
+    return placed.select("column", F.explode(F.filter(wanted, hit)).alias("prob"), exact.alias("value"))
+
+
+def _merged(brackets: Sequence[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Sorted brackets with overlapping ones joined."""
+    out: list[tuple[float, float]] = []
+    for lo, hi in sorted(brackets):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def _bracket_cell(v: Column, brackets: Sequence[tuple[float, float]]) -> list[Column]:
+    """(value, side): the value itself (side 0) in a bracket, else the bracket end it lies beyond."""
+    value, side = F.lit(brackets[0][0]), F.lit(-1)
+    for lo, hi in brackets:
+        value = F.when(v > hi, F.lit(hi)).when(v >= lo, v).otherwise(value)
+        side = F.when(v > hi, F.lit(1)).when(v >= lo, F.lit(0)).otherwise(side)
+    return [F.when(v.isNotNull() & ~F.isnan(v), value).alias("value"), side.alias("side")]
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], error: float = 0.0) -> dict[str, list[float]]:

@@ -58,9 +58,11 @@ def bfs_levels(
     Returns ``(levels(id, distance), target distance, frontier vertices that reached it)`` and stops
     early once ``target`` is reached. One level costs one join of the frontier with the edges; the
     frontier is counted anyway, and is broadcast while that count is below ``broadcast_rows``.
-    Each level is written to the shared folder, so lineage stays one step long.
+    The edges are written to the shared folder once and every level is added there, so no level
+    derives the edges again and lineage stays one step long.
     """
     spark = edges.sparkSession
+    edges = materialize(edges.select("src", "dst"), "edges")
     id_type = edges.schema["src"].dataType.simpleString()
     frontier = materialize(
         spark.range(1).select(F.lit(root).cast(id_type).alias("id"), F.lit(0).alias("distance")), "bfs"

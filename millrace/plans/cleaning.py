@@ -77,7 +77,7 @@ def _(t):
     SELECT user_id, item_id, rating, ts FROM ratings WHERE user_id NOT IN (SELECT user_id FROM flagged)""",
 )
 def _(t):
-    return cleaning.drop_suspicious(derived.ratings(t), min_rows=20, max_stddev=45_000_000, max_share=40.0).select(
+    return cleaning.drop_suspicious(derived.stored_ratings(t), min_rows=20, max_stddev=45_000_000, max_share=40.0).select(
         "user_id", "item_id", "rating", "ts"
     )
 

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import epoch_seconds
+from millrace.ml.evaluate import ranked_predictions
 from millrace.operators.ranking import latest_per_key
 from millrace.session import Tables
-from millrace.storage import scratch_path
+from millrace.storage import materialize, scratch_path
 
 # --- ratings: a customer rates a part by the quantity ordered -------------------------------
 
@@ -32,6 +33,11 @@ def ratings(t: Tables) -> DataFrame:
     return newest(raw_ratings(t))
 
 
+def stored_ratings(t: Tables) -> DataFrame:
+    """The ratings written once, for queries that read them more than once."""
+    return materialize(ratings(t), "ratings")
+
+
 def item_names(t: Tables) -> DataFrame:
     return t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
 
@@ -48,15 +54,12 @@ ratings AS (
 # --- ranked lists: each user's items by the item's mean rating; liked items are the truth ----
 
 
-def scored_items(t: Tables) -> DataFrame:
-    """Each user's own items, scored by the item's mean rating."""
-    r = ratings(t)
+def lists(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """(ranked, liked): ten best own items per user by mean rating, and the items rated 4 or 5."""
+    r = stored_ratings(t)
     means = r.groupBy("item_id").agg(F.round(F.avg("rating"), 6).alias("score"))
-    return r.join(means, "item_id").select("user_id", "item_id", "rating", "score")
-
-
-def liked(t: Tables) -> DataFrame:
-    return ratings(t).filter("rating >= 4").select("user_id", "item_id")
+    ranked = ranked_predictions(r.join(means, "item_id"), "score", 10)
+    return ranked, r.filter("rating >= 4").select("user_id", "item_id")
 
 
 RANKED = (

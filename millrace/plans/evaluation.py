@@ -102,8 +102,7 @@ def _ap_users(k: int) -> str:
 
 @query("ev_average_precision", f"WITH {_AP} SELECT user_id, n_actual, hits, round(ap, 6) AS ap FROM ({_ap_users(10)})")
 def _(t):
-    ranked = evaluate.ranked_predictions(derived.scored_items(t), "score", 10)
-    return evaluate.average_precision(ranked, derived.liked(t), 10)
+    return evaluate.average_precision(*derived.lists(t), 10)
 
 
 @query(
@@ -115,5 +114,4 @@ def _(t):
     ),
 )
 def _(t):
-    ranked = evaluate.ranked_predictions(derived.scored_items(t), "score", 10)
-    return evaluate.map_at_k(ranked, derived.liked(t), [3, 10, 500])
+    return evaluate.map_at_k(*derived.lists(t), [3, 10, 500])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import percent
-from millrace.ml.evaluate import average_precision, ranked_predictions
+from millrace.ml.evaluate import average_precision
 from millrace.ml.recommend import item_mean_predictions
 from millrace.operators import joins
 from millrace.operators.aggregates import argmax, contingency_long, histogram
@@ -13,6 +13,7 @@ from millrace.operators.cleaning import suspicious_users
 from millrace.operators.similarity import co_rated_sums
 from millrace.plans import derived
 from millrace.plans.catalog import query
+from millrace.storage import materialize
 
 
 @query(
@@ -65,7 +66,7 @@ def _(t):
     SELECT user_id, r.item_id, rating, round(m, 6) AS prediction, round(abs(rating - m), 6) AS miss FROM ratings r JOIN means USING (item_id)""",
 )
 def _(t):
-    actual = derived.ratings(t).select("user_id", "item_id", "rating")
+    actual = derived.stored_ratings(t).select("user_id", "item_id", "rating")
     predicted = item_mean_predictions(actual).select("user_id", "item_id", "prediction")
     return actual.join(predicted, ["user_id", "item_id"]).select(
         "user_id",
@@ -84,8 +85,9 @@ def _(t):
     LEFT JOIN (SELECT user_id, count(*) AS n_actual FROM liked GROUP BY user_id) a ON a.user_id = r.user_id GROUP BY r.user_id""",
 )
 def _(t):
-    ranked = ranked_predictions(derived.scored_items(t), "score", 10)
-    matched = average_precision(ranked, derived.liked(t), 10).select("user_id", "hits", "n_actual")
+    ranked, liked = derived.lists(t)
+    ranked = materialize(ranked, "ranked")  # used twice
+    matched = average_precision(ranked, liked, 10).select("user_id", "hits", "n_actual")
     in_order = F.sort_array(F.collect_list(F.struct("rank", "item_id")))  # at most ten rows per user
     lists = ranked.groupBy("user_id").agg(F.array_join(F.transform(in_order, lambda e: e["item_id"].cast("string")), ",").alias("predicted"))
     return lists.join(matched, "user_id")
@@ -108,7 +110,7 @@ def _(t):
     SELECT user_id, item_id, rating FROM ratings WHERE user_id NOT IN (SELECT user_id FROM flagged)""",
 )
 def _(t):
-    r = derived.ratings(t)
+    r = derived.stored_ratings(t)
     flagged = suspicious_users(r, min_rows=20, max_stddev=45_000_000, max_share=100)
     return joins.exclude(r, flagged, "user_id").select("user_id", "item_id", "rating")
 

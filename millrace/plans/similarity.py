@@ -29,7 +29,7 @@ def _(t):
     ORDER BY score DESC, n_pairs DESC, item_id LIMIT 10""",
 )
 def _(t):
-    return similar_items(derived.ratings(t), derived.item_names(t), item=0, k=10, min_score=0.9, min_pairs=2)
+    return similar_items(derived.stored_ratings(t), derived.item_names(t), item=0, k=10, min_score=0.9, min_pairs=2)
 
 
 @query(
@@ -43,16 +43,17 @@ def _(t):
 
 
 def _als_input(t):
-    return derived.ratings(t).select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), F.col("rating").cast("float"))
+    return derived.stored_ratings(t).select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), F.col("rating").cast("float"))
 
 
-def _als(t):
-    return recommend.als(rank=5, iterations=3, reg=0.1).fit(_als_input(t))
+def _als(t, rows=None):
+    return recommend.als(rank=5, iterations=3, reg=0.1).fit(_als_input(t) if rows is None else rows)
 
 
 @query("rec_als_fit_predict")
 def _(t):
-    return _als(t).transform(_als_input(t)).select("user_id", "item_id", "rating", "prediction")
+    rows = _als_input(t)
+    return _als(t, rows).transform(rows).select("user_id", "item_id", "rating", "prediction")
 
 
 @query("rec_topk")

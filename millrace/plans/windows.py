@@ -43,7 +43,7 @@ def _(t):
 )
 def _(t):
     order = [F.col("ts"), F.col("item_id")]
-    base, test = sampling.holdout_per_key(derived.ratings(t), "user_id", ["user_id", "item_id"], order, 1, 10)
+    base, test = sampling.holdout_per_key(derived.stored_ratings(t), "user_id", ["user_id", "item_id"], order, 1, 10)
     pick = ["user_id", "item_id"]
     return base.select(*pick, F.lit("base").alias("part")).union(test.select(*pick, F.lit("test").alias("part")))
 

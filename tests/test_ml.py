@@ -61,8 +61,7 @@ def test_average_precision_by_hand(spark):
 
 def test_map_matches_the_library_where_lists_are_long(tables):
     """With k above every list length, both divide by the number of liked items."""
-    ranked = evaluate.ranked_predictions(derived.scored_items(tables), "score", 10)
-    liked = derived.liked(tables)
+    ranked, liked = derived.lists(tables)
     mine = evaluate.average_precision(ranked, liked, 500).filter("n_actual > 0").agg(F.avg("ap")).first()[0]
     lists = ranked.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("rank", "item_id"))).alias("p"))
     lists = lists.select("user_id", F.transform("p", lambda s: s["item_id"].cast("double")).alias("prediction"))
