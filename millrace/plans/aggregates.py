@@ -12,8 +12,6 @@ from millrace.plans import derived
 from millrace.plans.catalog import query
 from millrace.session import TABLES
 
-N = F.count(F.lit(1)).alias("n")
-
 
 @query("agg_count_rows", "SELECT count(*) AS n_rows, 11 AS n_columns FROM lineitem")
 def _(t):
@@ -111,7 +109,7 @@ def _(t):
 )
 def _(t):
     return t.lineitem.groupBy("l_returnflag").agg(
-        N,
+        F.count(F.lit(1)).alias("n"),
         F.round(F.avg("l_quantity"), 4).alias("mean_quantity"),
         F.max("l_extendedprice").alias("top_price"),
         F.round(F.avg(F.when(F.col("l_discount") > 0.05, F.col("l_extendedprice"))), 2).alias("discounted_mean"),

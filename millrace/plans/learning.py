@@ -249,8 +249,12 @@ def _(t):
     return t.spark.read.schema(table.schema).csv(path, header=True)
 
 
-_RMSE = RegressionEvaluator(metricName="rmse")
-_AUC = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction")
+def _rmse():
+    return RegressionEvaluator(metricName="rmse")
+
+
+def _auc():
+    return BinaryClassificationEvaluator(rawPredictionCol="rawPrediction")
 
 
 @query("sel_cross_validate")
@@ -258,14 +262,14 @@ def _(t):
     train, _ = _prices(t)
     est = estimator("linear_regression", maxIter=5)
     maps = selection.grid(est, {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 1.0]})
-    return selection.cross_validate(est, maps, _RMSE, train, "l_orderkey", folds=3)[2]
+    return selection.cross_validate(est, maps, _rmse(), train, "l_orderkey", folds=3)[2]
 
 
 @query("sel_train_validation")
 def _(t):
     _, _, train, _ = _outcomes(t)
     est = estimator("logistic_regression", maxIter=5)
-    return selection.train_validation(est, selection.grid(est, {"regParam": [0.01, 0.1, 0.3]}), _AUC, train)[2]
+    return selection.train_validation(est, selection.grid(est, {"regParam": [0.01, 0.1, 0.3]}), _auc(), train)[2]
 
 
 @query("sel_model_compare")
@@ -276,7 +280,7 @@ def _(t):
         "decision_tree_reg": estimator("decision_tree_reg", maxDepth=3, seed=1),
         "gbt_reg": estimator("gbt_reg", maxDepth=3, maxIter=3, seed=1),
     }
-    winner, models, table = selection.compare(candidates, _RMSE, train, test)
+    winner, models, table = selection.compare(candidates, _rmse(), train, test)
     selection.save(models[winner], scratch_path(t.spark, "winner"))
     return table.withColumn("best", F.col("model") == winner)
 
@@ -286,7 +290,7 @@ def _(t):
     _, _, train, test = _outcomes(t)
     est = estimator("random_forest_clf", seed=1, maxBins=150)
     maps = selection.grid(est, {"maxDepth": [3, 5], "numTrees": [5]})
-    _, best, _ = selection.cross_validate(est, maps, _AUC, train, "o_orderkey")
+    _, best, _ = selection.cross_validate(est, maps, _auc(), train, "o_orderkey")
     return selection.refit(est, best, train).transform(test).select("o_orderkey", "label", "prediction")
 
 
