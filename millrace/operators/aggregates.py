@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ranking import with_running_sums
+from millrace.storage import materialize
 
 
 def histogram(df: DataFrame, keys: str | Sequence[str], name: str = "n") -> DataFrame:
@@ -164,7 +165,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     then rows inside a bracket are counted per value and rows between brackets only per gap. What
     is left to sort is the few values inside the brackets, and the answer is exact.
     """
-    ends = [min(max(p + d * error, 0.0), 1.0) for p in probs for d in (-2, 2)]
+    # four times the sketch's rank error also covers its rounding to whole ranks on small tables
+    ends = [min(max(p + d * error, 0.0), 1.0) for p in probs for d in (-4, 4)]
     sketch = dict(zip(columns, df.approxQuantile(list(columns), ends, error)))
     brackets = {c: _merged(list(zip(v[::2], v[1::2]))) for c, v in sketch.items() if v}
     if not brackets:
@@ -216,7 +218,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], err
     """Quantiles on the driver (``columns x probs`` numbers): exact at error 0, else by sketch."""
     if error > 0:
         return dict(zip(columns, df.approxQuantile(list(columns), list(probs), error)))
-    rows = exact_quantiles(df, columns, probs).collect()
+    rows = exact_quantiles(df, columns, probs).collect()  # columns x probs rows
     found = {(r["column"], r["prob"]): r["value"] for r in rows}
     return {c: [found.get((c, float(p))) for p in probs] for c in columns}
 
@@ -227,25 +229,31 @@ def argmax(df: DataFrame, score: str, key: str) -> DataFrame:
     return df.agg(best).select(F.col("b.k").alias(key), F.col("b.s").alias(score))
 
 
-def grouped_values(df: DataFrame, key: str, value: str) -> DataFrame:
-    """All values of each key, as text ``value:count`` items in value order.
+def value_runs(df: DataFrame, key: str, value: str) -> DataFrame:
+    """All values of each key as (key, value, n): equal values are counted, nothing is gathered."""
+    return df.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
 
-    Equal values are run-length counted first, so a row's length depends on how many different
-    values a key has and not on how many rows.
+
+def grouped_values(df: DataFrame, key: str, value: str, max_values: int = 10_000) -> DataFrame:
+    """All values of each key in one row, as text ``value:count`` items in value order.
+
+    A row's length depends on how many different values a key has, not on how many rows. Fails,
+    never cuts, when a key has more than ``max_values`` different ones; use :func:`value_runs` then.
     """
-    runs = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
+    runs = materialize(value_runs(df, key, value), "runs")
+    widest = runs.groupBy(key).agg(F.count(F.lit(1)).alias("m")).agg(F.max("m")).first()[0] or 0
+    if widest > max_values:
+        raise ValueError(f"a {key} has {widest} different values of {value}")
     item = F.struct(F.col(value).alias("v"), F.col("n").alias("n"))
-    return runs.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("items"), F.sum("n").alias("n")).select(
-        key,
-        F.array_join(F.transform("items", lambda i: F.concat(i["v"].cast("string"), F.lit(":"), i["n"].cast("string"))), ",").alias("vals"),
-        "n",
-    )
+    per_key = runs.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("items"), F.sum("n").alias("n"))
+    text = F.transform("items", lambda i: F.concat_ws(":", i["v"].cast("string"), i["n"].cast("string")))
+    return per_key.select(key, F.array_join(text, ",").alias("vals"), "n")
 
 
 def joined_distinct(df: DataFrame, column: str, sep: str = ", ", max_values: int = 10_000) -> DataFrame:
     """Distinct values of a category column as one text. Fails, never cuts, above ``max_values``."""
     values = df.select(F.col(column).cast("string").alias("v")).filter(F.col("v").isNotNull()).distinct()
-    found = values.limit(max_values + 1).count()
-    if found > max_values:
+    found = values.limit(max_values + 1).collect()
+    if len(found) > max_values:
         raise ValueError(f"{column} has more than {max_values} distinct values; write them as a table instead")
-    return values.agg(F.array_join(F.sort_array(F.collect_list("v")), sep).alias("vals"))
+    return df.sparkSession.createDataFrame([(sep.join(sorted(r["v"] for r in found)),)], "vals string")

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from millrace.ml import features, recommend, selection
 from millrace.ml.estimators import estimator
 from millrace.ml.evaluate import regression_metrics, silhouette
+from millrace.ml.preparation import Preparation
 from millrace.operators.aggregates import contingency_long
-from millrace.operators.cleaning import marker_to_mode, winsorize
 from millrace.operators.sampling import hash_split
 from millrace.plans import derived
 from millrace.plans.catalog import query
@@ -98,16 +98,47 @@ def _buyers(t):
     return hash_split(joined.withColumn("outcome", label), ["o_orderkey"], [0.7, 0.3])
 
 
-@query("ml_census_features")
+_EDGES = {"o_totalprice": [0, 100000, 200000, 300000, 500000], "c_acctbal": [-1000, 0, 2500, 5000, 10000]}
+_CODED = ["priority", "c_mktsegment", "o_totalprice_bin", "c_acctbal_bin"]
+
+
+def _bin_sql(column: str) -> str:
+    steps = zip(_EDGES[column], _EDGES[column][1:])
+    return "CASE " + " ".join(f"WHEN {column} BETWEEN {a} AND {b} THEN '{a}-{b}'" for a, b in steps) + f" ELSE 'Out' END AS {column}_bin"
+
+
+def _clip_sql(column: str) -> str:
+    bound = f"(SELECT quantile_disc({column}, {{}}) FROM buyers WHERE split = 0)"
+    return f"least(greatest({column}, {bound.format(0.05)}), {bound.format(0.95)}) AS {column}"
+
+
+def _code_sql(column: str) -> str:
+    return f"""{column}_codes AS (SELECT {column} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS DOUBLE) AS code
+    FROM binned WHERE split = 0 GROUP BY {column})"""
+
+
+@query(
+    "ml_census_features",
+    f"""WITH {derived.MARKED},
+    buyers AS (SELECT m.o_orderkey, m.o_totalprice, priority, c_acctbal, c_mktsegment, CASE WHEN status = 'F' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS done,
+      CASE WHEN CAST(('0x' || substr(md5('|' || m.o_orderkey), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE < 0.7 THEN 0 ELSE 1 END AS split
+      FROM marked m JOIN orders o ON m.o_orderkey = o.o_orderkey JOIN customer ON o_custkey = c_custkey),
+    clipped AS (SELECT o_orderkey, split, done, c_mktsegment, CASE WHEN priority = '?' THEN
+        (SELECT priority FROM buyers WHERE split = 0 AND priority <> '?' GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) ELSE priority END AS priority,
+      {_clip_sql("o_totalprice")}, {_clip_sql("c_acctbal")} FROM buyers),
+    binned AS (SELECT o_orderkey, split, done, priority, c_mktsegment, {_bin_sql("o_totalprice")}, {_bin_sql("c_acctbal")} FROM clipped),
+    """
+    + ", ".join(_code_sql(c) for c in _CODED)
+    + """ SELECT o_orderkey, split, done AS label, """
+    + ", ".join(f"coalesce({c}_codes.code, (SELECT CAST(count(*) AS DOUBLE) FROM {c}_codes)) AS f{i}" for i, c in enumerate(_CODED))
+    + " FROM binned "
+    + " ".join(f"LEFT JOIN {c}_codes ON binned.{c} = {c}_codes.v" for c in _CODED),
+)
 def _(t):
     rows = materialize(_buyers(t), "buyers")
-    clipped = winsorize(rows, ["o_totalprice", "c_acctbal"])
-    filled = marker_to_mode(clipped, ["priority"])
-    edges = {"o_totalprice": [0, 100000, 200000, 300000, 500000], "c_acctbal": [-1000, 0, 2500, 5000, 10000]}
-    binned = features.bin_columns(filled, edges)
-    pipeline = features.category_pipeline(["priority", "c_mktsegment", "o_totalprice_bin", "c_acctbal_bin"], "outcome")
-    _, (train, test) = features.fit_transform(pipeline, binned.filter("split = 0"), binned.filter("split = 1"))
-    return train.union(test).select("o_orderkey", "split", "label", vector_to_array("features").alias("features"))
+    prepared = Preparation.fit(rows.filter("split = 0"), _EDGES, ["priority", "c_mktsegment"], "outcome")
+    parts = vector_to_array("features")
+    return prepared.transform(rows).select("o_orderkey", "split", "label", *[parts[i].alias(f"f{i}") for i in range(4)])
 
 
 # --- estimators -------------------------------------------------------------------------------
@@ -233,11 +264,19 @@ def _(t):
 # --- cluster evaluation, selection, persistence -----------------------------------------------
 
 
-@query("ev_silhouette")
+@query(
+    "ev_silhouette",
+    """WITH flat AS (SELECT vec_id, label AS kind, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+    unit AS (SELECT vec_id, kind, i, v / sqrt(sum(v * v) OVER (PARTITION BY vec_id)) AS v FROM flat),
+    centre AS (SELECT kind AS other, i, sum(v) AS y, count(*) AS n FROM unit GROUP BY 1, 2),
+    dist AS (SELECT vec_id, kind, other, any_value(n) AS n, 1 - sum(v * y) / any_value(n) AS d FROM unit JOIN centre USING (i) GROUP BY 1, 2, 3),
+    sides AS (SELECT vec_id, max(CASE WHEN kind = other THEN d * n / (n - 1) END) AS a, min(CASE WHEN kind <> other THEN d END) AS b FROM dist GROUP BY 1)
+    SELECT label AS kind, count(*) AS n, (SELECT round(avg((b - a) / greatest(a, b)), 6) FROM sides) AS silhouette FROM embeddings GROUP BY label""",
+)
 def _(t):
     rows = _vectors(t).withColumn("prediction", F.col("kind"))
-    value = silhouette(rows, distance="cosine")
-    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).withColumn("silhouette", F.lit(float(value)))
+    value = round(float(silhouette(rows, distance="cosine")), 6)
+    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).withColumn("silhouette", F.lit(value))
 
 
 @query("ev_cluster_contingency")

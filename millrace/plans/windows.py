@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import ranking, sampling
 from millrace.operators.aggregates import argmax, histogram, share_of_total
 from millrace.operators.joins import lookup
+from millrace.operators.sets import except_rows
 from millrace.plans import derived
 from millrace.plans.catalog import query
 
@@ -96,7 +97,7 @@ def _(t):
 def _(t):
     cols = ["user_id", "item_id", "rating"]
     raw = derived.raw_ratings(t)
-    return raw.select(*cols).subtract(derived.newest(raw).select(*cols))
+    return except_rows(raw.select(*cols), derived.newest(raw).select(*cols))
 
 
 @query("set_distinct", "SELECT DISTINCT o_custkey, o_orderstatus FROM orders")

@@ -41,14 +41,13 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:
     """Hint a broadcast only after measuring that ``df`` stays below both bounds.
 
-    The measurement reads at most ``max_rows + 1`` rows. Above the bounds the frame comes back
-    without a hint, and Spark joins by shuffle, with AQE's skew handling.
+    The measurement takes row widths, at most ``max_rows + 1`` of them, reading partitions only
+    until it has enough. Above the bounds the frame comes back without a hint, and Spark joins by
+    shuffle, with AQE's skew handling.
     """
     width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    rows, size = (
-        df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    )
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+    widths = [r[0] for r in df.select(width).limit(max_rows + 1).collect()]
+    return F.broadcast(df) if len(widths) <= max_rows and sum(widths) <= max_bytes else df

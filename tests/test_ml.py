@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from millrace.ml import evaluate, features, recommend, selection
 from millrace.ml.estimators import ESTIMATORS, estimator
+from millrace.ml.preparation import Preparation
 from millrace.plans import derived
 from millrace.storage import scratch_path
 
@@ -80,6 +81,18 @@ def test_codes_are_fitted_once(spark):
     assert dict(rows(seen.select("y", "label").distinct())) == {"yes": 0.0, "no": 1.0}
 
 
+def test_preparation_uses_training_limits_modes_and_codes(spark):
+    train = spark.createDataFrame(
+        [(float(i), "a" if i % 3 else "?", "y" if i % 2 else "n") for i in range(1, 101)], "x double, c string, y string"
+    )
+    prepared = Preparation.fit(train, {"x": [0, 10, 50, 100]}, ["c"], "y")
+    assert prepared.limits == {"x": (5.0, 95.0)} and prepared.replacements == {"c": "a"}
+    new = spark.createDataFrame([(1e6, "?", "y"), (-3.0, "z", "n")], "x double, c string, y string")
+    got = prepared.transform(new).select("x", "c", "x_bin", vector_to_array("features").alias("f"))
+    # bins by size in training: 10-50 (40), 50-100 (50) first; the unseen category has its own code
+    assert [tuple(r) for r in got.collect()] == [(95.0, "a", "50-100", [0.0, 0.0]), (5.0, "z", "0-10", [1.0, 2.0])]
+
+
 def test_scalers(spark):
     df = features.assembler(["x"]).transform(spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "x double"))
     scaled = features.min_max().fit(df).transform(df).select(vector_to_array("scaled")[0])

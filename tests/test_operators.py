@@ -1,13 +1,16 @@
+import math
 import random
 import statistics
 from collections import Counter
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
 from millrace.operators import aggregates as agg
 from millrace.operators import cleaning, filters, joins, ranking, sampling
+from millrace.operators.sets import except_rows
 
 DAY = 86_400
 
@@ -71,6 +74,16 @@ def test_exact_quantiles(spark):
     assert abs(near - 1500) < 200
 
 
+@pytest.mark.parametrize("n", [1, 7, 640, 1900])
+def test_exact_quantiles_on_small_tables(spark, n):
+    rng = random.Random(n)
+    data = [(rng.choice([rng.gauss(0, 5), 1.5, None]),) for _ in range(n)]
+    probs = [0.0, 0.013, 0.25, 0.5, 0.77, 0.999, 1.0]
+    ordered = sorted(v for (v,) in data if v is not None)
+    got = agg.quantiles(spark.createDataFrame(data, "v double"), ["v"], probs)["v"]
+    assert got == [ordered[max(math.ceil(len(ordered) * p), 1) - 1] if ordered else None for p in probs]
+
+
 def test_mean_exact_and_truncated(spark):
     df = spark.createDataFrame([(33, 385), (33, 2), (40, 7)], "age int, friends int")
     assert rows(agg.mean_by_key(df, "age", "friends")) == [(33, 193.5), (40, 7.0)]
@@ -117,16 +130,16 @@ def test_pivot_and_long_contingency_agree(spark):
 def test_grouped_values_keep_every_value(spark):
     df = spark.createDataFrame([(1, 5), (1, 5), (1, 3), (2, 4)], "k int, v int")
     assert rows(agg.grouped_values(df, "k", "v")) == [(1, "3:1,5:2", 3), (2, "4:1", 1)]
+    assert rows(agg.value_runs(df, "k", "v")) == [(1, 3, 1), (1, 5, 2), (2, 4, 1)]
+    with pytest.raises(ValueError):
+        agg.grouped_values(df, "k", "v", max_values=1)
 
 
 def test_joined_distinct_refuses_instead_of_cutting(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "c string")
     assert rows(agg.joined_distinct(df, "c")) == [("a, b",)]
-    try:
+    with pytest.raises(ValueError):
         agg.joined_distinct(df, "c", max_values=1)
-    except ValueError:
-        return
-    raise AssertionError("expected a refusal")
 
 
 def test_pair_correlations_agree_with_the_matrix(spark):
@@ -226,4 +239,4 @@ def test_holdout_and_folds(spark):
 
 def test_except_removes_duplicates(spark):
     all_rows = spark.createDataFrame([(1,), (1,), (2,)], "x int")
-    assert rows(all_rows.subtract(spark.createDataFrame([(2,)], "x int"))) == [(1,)]
+    assert rows(except_rows(all_rows, spark.createDataFrame([(2,), (2,)], "x int"))) == [(1,)]
