@@ -145,6 +145,22 @@ def ranked_predictions(scored: DataFrame, score: str, k: int) -> DataFrame:
     return top.select("user_id", "item_id", "rank")
 
 
+def matched_lists(ranked: DataFrame, actual: DataFrame) -> DataFrame:
+    """Per ranked user: the ranked items as text, how many are actual ones, how many actual ones there are.
+
+    The only list built is the ranked one, which its ``k`` bounds.
+    """
+    truth = actual.select("user_id", "item_id").distinct().withColumn("hit", F.lit(1))
+    found = ranked.join(truth, ["user_id", "item_id"], "left")
+    in_order = F.sort_array(F.collect_list(F.struct("rank", "item_id")))
+    per_user = found.groupBy("user_id").agg(
+        F.array_join(F.transform(in_order, lambda e: e["item_id"].cast("string")), ",").alias("predicted"),
+        F.count("hit").alias("hits"),
+    )
+    sizes = actual.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_actual"))
+    return per_user.join(sizes, "user_id", "left").withColumn("n_actual", F.coalesce("n_actual", F.lit(0)))
+
+
 def _precision_sums(ranked: DataFrame, actual: DataFrame, ks: Sequence[int]) -> DataFrame:
     """Per ranked user, for every ``k`` in one pass: (user_id, n_actual, score_k, hits_k, ...).
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import percent
-from millrace.ml.evaluate import average_precision
+from millrace.ml.evaluate import matched_lists
 from millrace.ml.recommend import item_mean_predictions
 from millrace.operators import joins
 from millrace.operators.aggregates import argmax, contingency_long, histogram
@@ -13,7 +13,6 @@ from millrace.operators.cleaning import suspicious_users
 from millrace.operators.similarity import co_rated_sums
 from millrace.plans import derived
 from millrace.plans.catalog import query
-from millrace.storage import materialize
 
 
 @query(
@@ -85,12 +84,7 @@ def _(t):
     LEFT JOIN (SELECT user_id, count(*) AS n_actual FROM liked GROUP BY user_id) a ON a.user_id = r.user_id GROUP BY r.user_id""",
 )
 def _(t):
-    ranked, liked = derived.lists(t)
-    ranked = materialize(ranked, "ranked")  # used twice
-    matched = average_precision(ranked, liked, 10).select("user_id", "hits", "n_actual")
-    in_order = F.sort_array(F.collect_list(F.struct("rank", "item_id")))  # at most ten rows per user
-    lists = ranked.groupBy("user_id").agg(F.array_join(F.transform(in_order, lambda e: e["item_id"].cast("string")), ",").alias("predicted"))
-    return lists.join(matched, "user_id")
+    return matched_lists(*derived.lists(t))
 
 
 @query(

@@ -24,12 +24,17 @@ TABLES = (
 )
 
 
-def build_session(app: str = "millrace", master: str | None = None, **conf: object) -> SparkSession:
+def build_session(
+    app: str = "millrace", master: str | None = None, shuffle_partitions: int | None = None, **conf: object
+) -> SparkSession:
     """A session with the settings the operators are written for: AQE on, UTC, ANSI left on.
 
-    Shuffle partitions are not fixed here: on a cluster AQE coalesces from the cluster's own
-    setting, and tests pass a small number through ``conf``.
+    AQE merges small shuffle partitions but does not add any, so on large inputs
+    ``shuffle_partitions`` should start high (about one per 256 MB shuffled); it is left to the
+    cluster's setting when not given. Other settings come as ``spark__sql__name=value``.
     """
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = shuffle_partitions
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")

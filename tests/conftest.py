@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions=4, spark__ui__enabled="false",
+        "tests", "local[8]", shuffle_partitions=4, spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")

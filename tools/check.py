@@ -33,7 +33,7 @@ def canonical(rows, names):
 def main() -> int:
     args = sys.argv[1:]
     sf = args.pop(0) if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
-    spark = build_session("check", "local[8]", spark__sql__shuffle__partitions=8, spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="12g")
+    spark = build_session("check", "local[8]", shuffle_partitions=8, spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for name in TABLES:
