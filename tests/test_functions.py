@@ -69,15 +69,15 @@ def test_adjacency_line_with_trailing_blank(spark):
 
 
 def test_log_line_and_garbage(spark):
-    good = '66.249.75.159 - - [29/Nov/2015:03:50:05 +0000] "GET /robots.txt HTTP/1.1" 200 55'
-    neg = '1.2.3.4 - - [29/Nov/2015:03:50:05 -0500] "GET / HTTP/1.1" 404 7'
+    good = '10.20.30.40 - - [07/Feb/2021:13:14:15 +0000] "GET /index.html HTTP/1.1" 200 55'
+    neg = '1.2.3.4 - - [07/Feb/2021:13:14:15 -0500] "GET / HTTP/1.1" 404 7'
     df = spark.createDataFrame([(good,), (neg,), ("garbage",)], "value string")
     parsed = values(df.select(*log_fields(F.col("value"))))
-    assert parsed[0] == ("66.249.75.159", "29/Nov/2015:03:50:05 +0000", "GET", "/robots.txt", "HTTP/1.1", 200, 55)
-    assert parsed[1][1] == "29/Nov/2015:03:50:05 -0500"
+    assert parsed[0] == ("10.20.30.40", "07/Feb/2021:13:14:15 +0000", "GET", "/index.html", "HTTP/1.1", 200, 55)
+    assert parsed[1][1] == "07/Feb/2021:13:14:15 -0500"
     assert parsed[2] == ("", "", "", "", "", None, None)
     times = df.select(*log_fields(F.col("value"))).select(F.unix_timestamp(log_time(F.col("timestamp"))))
-    assert values(times) == [(1448769005,), (1448787005,), (None,)]
+    assert values(times) == [(1612703655,), (1612721655,), (None,)]
 
 
 def test_unit_hash_is_uniform_and_stable(spark):

@@ -23,7 +23,7 @@ def test_typed_reader_separators(spark, tmp_path, sep):
 
 
 def test_inferred_and_string_readers(spark, tmp_path):
-    path = put(tmp_path, "f.csv", "id,name,age\n0,Will,33\n1,Jean-Luc,26\n")
+    path = put(tmp_path, "f.csv", "id,name,age\n0,Ada,33\n1,Anna-Lee,26\n")
     assert delimited.read_inferred(spark, path).dtypes == [("id", "int"), ("name", "string"), ("age", "int")]
     strings = delimited.read_strings(spark, path)
     assert {t for _, t in strings.dtypes} == {"string"}
@@ -33,10 +33,10 @@ def test_inferred_and_string_readers(spark, tmp_path):
 def test_positional_trimmed_and_charset(spark, tmp_path):
     path = put(tmp_path, "p.csv", "1,2.5\n2,x\n")
     assert rows(delimited.read_positional(spark, path, ["a", "b"], ["int", "double"])) == [(1, 2.5), (2, None)]
-    path = put(tmp_path, "c.csv", "73,  Not in universe,   0\n")
-    assert rows(delimited.read_trimmed(spark, path, "age int, worker string, code int")) == [(73, "Not in universe", 0)]
-    path = put(tmp_path, "l.txt", "1|Café (1994)\n", "latin-1")
-    assert rows(delimited.read_charset(spark, path, "id int, title string")) == [(1, "Café (1994)")]
+    path = put(tmp_path, "c.csv", "73,  not known yet,   0\n")
+    assert rows(delimited.read_trimmed(spark, path, "age int, worker string, code int")) == [(73, "not known yet", 0)]
+    path = put(tmp_path, "l.txt", "1|Café au lait\n", "latin-1")
+    assert rows(delimited.read_charset(spark, path, "id int, title string")) == [(1, "Café au lait")]
 
 
 def test_malformed_lines_go_to_rejects(spark, tmp_path):
@@ -48,10 +48,10 @@ def test_malformed_lines_go_to_rejects(spark, tmp_path):
 
 
 def test_quoted_names(spark, tmp_path):
-    path = put(tmp_path, "n.txt", '1 "24-HOUR MAN/EMMANUEL"\n2 bare\n7000 "BOOK"\n')
+    path = put(tmp_path, "n.txt", '1 "AMBER/FOX"\n2 bare\n7000 "LEDGER"\n')
     lines = text.read_lines(spark, path)
-    assert rows(text.parse_quoted(lines)) == [(1, "24-HOUR MAN/EMMANUEL"), (7000, "BOOK")]
-    assert rows(text.parse_quoted(lines, below=6487)) == [(1, "24-HOUR MAN/EMMANUEL")]
+    assert rows(text.parse_quoted(lines)) == [(1, "AMBER/FOX"), (7000, "LEDGER")]
+    assert rows(text.parse_quoted(lines, below=6487)) == [(1, "AMBER/FOX")]
 
 
 def test_inline_rows(spark):

@@ -12,7 +12,7 @@ def text_folder(tmp_path, files):
     return str(tmp_path)
 
 
-def line(status, at="29/Nov/2015:03:50:05 +0000"):
+def line(status, at="07/Feb/2021:13:14:15 +0000"):
     return f'1.2.3.4 - - [{at}] "GET /x HTTP/1.1" {status} 7'
 
 
