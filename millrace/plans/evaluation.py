@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from millrace.ml import evaluate
 from millrace.plans import derived
 from millrace.plans.catalog import query
