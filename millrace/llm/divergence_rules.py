@@ -10,7 +10,8 @@ is passed. Base rules on length and repetition come first.
 Defined results: a null or empty text has no words and fails the base rules. Rows are judged one by
 one, so ties and repeated rows get the same verdict. Languages without a reference (too few words,
 or an empty table) are not compared with; with no reference at all only the base rules count. A
-document's own ``lang``, null or not, has no part in its verdict. All other columns are kept.
+document's own ``lang``, null or not, has no part in its verdict. All other columns are kept, but for
+those with the name of a result, which it replaces.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from millrace.llm.support import clean_names, ship, small_batches
+from millrace.llm.support import kept_columns, ship, small_batches
 from millrace.llm.textcodes import SPACES, chunks, words
 from millrace.storage import materialize
 
@@ -142,8 +143,7 @@ def _add_features(batches: Iterator[pa.RecordBatch], text_col: str, keep: list[s
 
 def measured(df: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns of ``df`` (all when not given), the base counts, and both histograms."""
-    keep = df.columns if keep is None else keep
-    clean_names(df.select(*keep), {*FEATURES, "_classes", "_words"})
+    keep = kept_columns(df, keep, (*FEATURES, "_classes", "_words"))
     ship(df.sparkSession)
     fields = [df.schema[c] for c in keep] + [StructField(k, LongType()) for k in FEATURES]
     fields += [StructField(k, ArrayType(LongType())) for k in ("_classes", "_words")]
@@ -210,8 +210,7 @@ def judge(
     ``class_distance`` and ``word_distance`` are the smallest over the languages, null without any
     reference. ``base_failed`` comes from the base rules alone.
     """
-    keep = df.columns if keep is None else keep
-    clean_names(df.select(*keep), {"class_distance", "word_distance", "base_failed", "kept"})
+    keep = kept_columns(df, keep, (*FEATURES, "_classes", "_words", "class_distance", "word_distance", "base_failed", "kept"))
     kept_for_reference = [*keep, *([] if lang_col in keep else [lang_col])]
     features = materialize(measured(df, text_col, kept_for_reference), "rule_features")
     refs = references(features, lang_col)

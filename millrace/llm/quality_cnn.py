@@ -13,7 +13,8 @@ all. Rows are weighted back to the shares of the classes, so scores are probabil
 Defined results: a null or empty text is scored like a text of padding only. Rows are scored one by
 one, so repeated rows get equal scores. A document labelled more than once counts once per label
 row; null labels are no labels. If a class has no labelled row, or there are no labels, the score
-is the share of label 1 (0.5 without labels). All other columns are kept.
+is the share of label 1 (0.5 without labels). All other columns are kept, but for those with the name
+of a result, which it replaces.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.support import clean_names, ship, text_buffer
+from millrace.llm.support import kept_columns, ship, text_buffer
 from millrace.storage import materialize
 
 WIDTH, STRIDE, SECTION = 16, 4, 128
@@ -202,8 +203,7 @@ def _score(batches: Iterator[pa.RecordBatch], net: bytes, text_col: str, keep: l
 
 def score(df: DataFrame, net: dict, text_col: str = "text", keep: list[str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``keep`` columns of every row (all when not given) with ``score`` and ``predicted``."""
-    keep = df.columns if keep is None else keep
-    clean_names(df.select(*keep), {"score", "predicted"})
+    keep = kept_columns(df, keep, ("score", "predicted"))
     ship(df.sparkSession)
     needed = df.select(*dict.fromkeys([*keep, text_col]))
     scored = needed.mapInArrow(partial(_score, net=pickle.dumps(net), text_col=text_col, keep=keep), df.select(*keep).schema.add("score", "double"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,19 +68,19 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body, at - at[0]
 
 
-def clean_names(df: DataFrame, used: set[str]) -> None:
-    """Refuse an input that already has a column an operator adds."""
-    clash = used & set(df.columns)
-    if clash:
-        raise ValueError(f"the input has columns of the result's names: {sorted(clash)}")
+def kept_columns(df: DataFrame, keep: list[str] | None, results: Iterable[str]) -> list[str]:
+    """Columns to pass on: those asked for (all by default), without any that a result's name replaces."""
+    taken = {r.lower() for r in results}
+    return [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
 
 
-def same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
+def set_aside(df: DataFrame, *used: str) -> DataFrame:
+    """``df`` without columns whose names the operator needs for itself."""
+    return df.select(*[F.col(f"`{c}`") for c in kept_columns(df, None, used)])
 
 
-def doc_key(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """128 bits that tell documents apart: equal for rows with equal id and text only."""
+def doc_key(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """Two 64-bit numbers that tell documents apart: equal for rows of equal id and text only."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    head = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit("\x01"), text)
-    return F.unhex(F.md5(head))
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    return F.xxhash64(F.lit(1), name, text), F.xxhash64(F.lit(2), F.crc32(F.encode(text, "utf-8")), name, text)
