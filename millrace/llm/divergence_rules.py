@@ -23,9 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from millrace.llm.support import kept_columns, ship, small_batches
+from millrace.llm.support import extended, kept_columns, ship, small_batches
 from millrace.llm.textcodes import SPACES, chunks, words
 from millrace.storage import materialize
 
@@ -145,10 +144,9 @@ def measured(df: DataFrame, text_col: str = "text", keep: list[str] | None = Non
     """``keep`` columns of ``df`` (all when not given), the base counts, and both histograms."""
     keep = kept_columns(df, keep, (*FEATURES, "_classes", "_words"))
     ship(df.sparkSession)
-    fields = [df.schema[c] for c in keep] + [StructField(k, LongType()) for k in FEATURES]
-    fields += [StructField(k, ArrayType(LongType())) for k in ("_classes", "_words")]
+    added = ", ".join([*[f"{k} long" for k in FEATURES], "_classes array<long>, _words array<long>"])
     needed = df.select(*dict.fromkeys([*keep, text_col]))
-    return needed.mapInArrow(partial(_add_features, text_col=text_col, keep=keep), StructType(fields))
+    return needed.mapInArrow(partial(_add_features, text_col=text_col, keep=keep), extended(needed.select(*keep).schema, added))
 
 
 def references(features: DataFrame, lang_col: str = "lang", min_words: int = MIN_REFERENCE_WORDS) -> dict[str, tuple[list[int], list[int]]]:
@@ -219,7 +217,5 @@ def judge(
         "max_class_distance": max_class_distance, "max_word_distance": max_word_distance,
     }
     narrow = features.select(*keep, *FEATURES, "_classes", "_words")
-    schema = narrow.drop("_classes", "_words").schema
-    for name, kind in (("class_distance", "double"), ("word_distance", "double"), ("base_failed", "boolean"), ("kept", "boolean")):
-        schema = schema.add(name, kind)
+    schema = extended(narrow.drop("_classes", "_words").schema, "class_distance double, word_distance double, base_failed boolean, kept boolean")
     return narrow.mapInArrow(partial(_judge, refs=refs, limits=limits), schema)

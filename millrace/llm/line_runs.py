@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.sorted_groups import number_groups
-from millrace.llm.support import doc_key, set_aside, ship
+from millrace.llm.support import doc_key, extended, set_aside, ship
 from millrace.llm.textcodes import SPACES
 from millrace.storage import materialize
 
@@ -199,4 +199,4 @@ def delete_repeated_runs(df: DataFrame, id_col: str = "doc_id", text_col: str =
     keyed = rest.withColumns({"_k1": k1, "_k2": k2})
     joined = keyed.join(gone, (keyed["_k1"] == gone["_d1"]) & (keyed["_k2"] == gone["_d2"]), "left").select(*[f"`{c}`" for c in rest.columns], "_gone")
     at = [c.lower() for c in rest.columns].index(text_col.lower())
-    return joined.mapInArrow(partial(_delete, text_at=at), rest.schema.add(RESULT, "long"))
+    return joined.mapInArrow(partial(_delete, text_at=at), extended(rest.schema, f"{RESULT} long"))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.support import ship, small_batches
+from millrace.llm.support import doc_key, set_aside, ship, small_batches
 from millrace.llm.textcodes import chunks, words
 from millrace.storage import materialize
 
@@ -113,7 +113,8 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int, bands: int, rows: int) -> I
                 signed[full] = signatures(hashes, at[np.append(full, len(at) - 1)], bands, rows)
             lists = pa.ListArray.from_arrays(np.arange(0, signed.size + 1, bands, dtype=np.int32), pa.array(signed.reshape(-1)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array(identity, pa.binary()), pa.array(np.diff(at), pa.int64()), lists], names=["_id", "_t", "_n", "_bands"]
+                [*batch.select(["_id", "_k1", "_k2"]).columns, pa.array(identity, pa.binary()), pa.array(np.diff(at), pa.int64()), lists],
+                names=["_id", "_k1", "_k2", "_t", "_n", "_bands"],
             )
 
 
@@ -221,16 +222,17 @@ def _spread(members: DataFrame) -> DataFrame:
     return other.withColumns({"_x": F.least("_block", "_other"), "_y": F.greatest("_block", "_other")}).drop("_other", "_blocks")
 
 
-def similar_texts(
+def _classified(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N_WORDS, threshold: float = THRESHOLD, recall: float = TARGET_RECALL,
     unit_grams: int = UNIT_GRAMS, unit_cost: int = UNIT_COST, most_blocks: int = MOST_BLOCKS,
 ) -> DataFrame:
-    """One row per row of ``df``: ``id_col``, ``class_id``, ``n_links`` (other texts linked), ``n_copies`` (rows of its text)."""
+    """A row per row of ``df``: ``_id``, key of id and text, class, links, copies, whether it stands for its class."""
     ship(df.sparkSession)
     bands, rows = choose_bands(threshold, recall)
     kind = df.schema[id_col].dataType.simpleString()
-    docs = df.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
-    signed = materialize(docs.mapInArrow(partial(_sign, n=n, bands=bands, rows=rows), f"_id {kind}, _t binary, _n long, _bands array<long>"), "signatures")
+    k1, k2 = doc_key(id_col, text_col)
+    docs = df.select(F.col(id_col).alias("_id"), k1.alias("_k1"), k2.alias("_k2"), F.coalesce(text_col, F.lit("")).alias("_text"))
+    signed = materialize(docs.mapInArrow(partial(_sign, n=n, bands=bands, rows=rows), f"_id {kind}, _k1 long, _k2 long, _t binary, _n long, _bands array<long>"), "signatures")
     some = signed.filter("_t is not null")
     # Copies have equal signatures, so any row's will do.
     texts = materialize(some.groupBy("_t").agg(F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_copies"), F.first("_n").alias("_n"), F.first("_bands").alias("_bands")), "texts")
@@ -271,19 +273,33 @@ def similar_texts(
     classes = materialize(components(verified.select(F.col("_t").alias("a"), F.col("_root").alias("b"))), "classes")
     rooted = texts.join(classes, F.col("_t") == F.col("vertex"), "left").select("_t", "_least", "_copies", F.coalesce("root", "_t").alias("_root"))
     rooted = materialize(rooted, "rooted")
-    least = materialize(rooted.groupBy(F.col("_root").alias("_r")).agg(F.min("_least").alias("_class")), "class_ids")
+    # The text of the least id stands for its class; ids that are null come last, equal ids go by text.
+    first = F.min(F.struct(F.col("_least").isNull().alias("_none"), "_least", "_t"))
+    least = materialize(rooted.groupBy(F.col("_root").alias("_r")).agg(first.alias("_first")), "class_ids")
     named = rooted.join(least, F.col("_root") == F.col("_r")).join(links.withColumnRenamed("_t", "_l"), F.col("_t") == F.col("_l"), "left")
-    result = materialize(named.select(F.col("_t").alias("_w"), "_class", "_copies", F.coalesce("_links", F.lit(0)).alias("_links")), "text_results")
-    out = signed.select("_id", "_t").join(result, F.col("_t") == F.col("_w"), "left")
+    stands = F.col("_t") == F.col("_first._t")
+    result = materialize(
+        named.select(F.col("_t").alias("_w"), F.col("_first._least").alias("_class"), "_copies", F.coalesce("_links", F.lit(0)).alias("_links"), stands.alias("_stands")), "text_results"
+    )
+    out = signed.select("_id", "_k1", "_k2", "_t").join(result, F.col("_t") == F.col("_w"), "left")
     alone = F.col("_w").isNull()
     return out.select(
-        F.col("_id").alias(id_col), F.when(alone, F.col("_id")).otherwise(F.col("_class")).alias("class_id"),
+        "_id", "_k1", "_k2", F.when(alone, F.col("_id")).otherwise(F.col("_class")).alias("class_id"),
         F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("_copies", F.lit(1)).cast("long").alias("n_copies"),
+        (alone | (F.col("_stands") & F.col("_class").eqNullSafe(F.col("_id")))).alias("_stays"),
     )
 
 
+def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
+    """One row per row of ``df``: ``id_col``, ``class_id``, ``n_links`` (other texts linked), ``n_copies`` (rows of its text)."""
+    return _classified(df, id_col, text_col, **options).select(F.col("_id").alias(id_col), "class_id", "n_links", "n_copies")
+
+
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
-    """Rows of ``df`` whose id is the least of their class; rows without an id stay if their class has none."""
-    classes = similar_texts(df, id_col, text_col, **options)
-    gone = materialize(classes.filter(~F.col("class_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("_gone")).distinct(), "duplicates")
-    return df.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    """``df`` with one document of each class, that with the least id (then text); rows equal in both are one document."""
+    rest = set_aside(df, "_k1", "_k2", "_g1", "_g2")
+    found = _classified(rest, id_col, text_col, **options)
+    gone = materialize(found.filter("not _stays").select(F.col("_k1").alias("_g1"), F.col("_k2").alias("_g2")).distinct(), "duplicates")
+    k1, k2 = doc_key(id_col, text_col)
+    keyed = rest.withColumns({"_k1": k1, "_k2": k2})
+    return keyed.join(gone, (F.col("_k1") == F.col("_g1")) & (F.col("_k2") == F.col("_g2")), "left_anti").drop("_k1", "_k2")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.support import kept_columns, ship, text_buffer
+from millrace.llm.support import extended, kept_columns, ship, text_buffer
 from millrace.storage import materialize
 
 WIDTH, STRIDE, SECTION = 16, 4, 128
@@ -206,5 +206,5 @@ def score(df: DataFrame, net: dict, text_col: str = "text", keep: list[str] | No
     keep = kept_columns(df, keep, ("score", "predicted"))
     ship(df.sparkSession)
     needed = df.select(*dict.fromkeys([*keep, text_col]))
-    scored = needed.mapInArrow(partial(_score, net=pickle.dumps(net), text_col=text_col, keep=keep), df.select(*keep).schema.add("score", "double"))
+    scored = needed.mapInArrow(partial(_score, net=pickle.dumps(net), text_col=text_col, keep=keep), extended(df.select(*[f"`{c}`" for c in keep]).schema, "score double"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

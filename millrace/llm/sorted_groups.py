@@ -17,10 +17,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.support import ship
+from millrace.llm.support import extended, ship
 from millrace.storage import materialize
 
-_ADDED = "_group long, _prev boolean, _next boolean, _edge integer, _part integer"
+_ADDED = "_group long, _prev boolean, _next boolean, _edge int, _part int"
 FIRST, LAST = 1, 2
 
 
@@ -81,10 +81,7 @@ def number_groups(df: DataFrame, keys: Sequence[str], members: Sequence[str], or
     ship(spark)
     placing = [*[F.col(k) for k in keys], *(order or [F.col(m) for m in members])]
     placed = df.repartitionByRange(*placing).sortWithinPartitions(*placing)
-    schema = df.schema
-    for field in _ADDED.split(", "):
-        schema = schema.add(*field.split())
-    numbered = placed.mapInArrow(partial(_number, keys=list(keys), members=list(members), only_shared=only_shared), schema)
+    numbered = placed.mapInArrow(partial(_number, keys=list(keys), members=list(members), only_shared=only_shared), extended(df.schema, _ADDED))
     stage = materialize(numbered, "groups")
     edges = stage.filter("_edge > 0").select("_part", "_edge", "_group", *keys).collect()
     first = {r["_part"]: tuple(r[k] for k in keys) for r in edges if r["_edge"] & FIRST}

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BATCH_BYTES = 8 << 20
 _shipped: set[str] = set()
@@ -79,6 +80,11 @@ def set_aside(df: DataFrame, *used: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in kept_columns(df, None, used)])
 
 
+def extended(schema: StructType, fields: str) -> StructType:
+    """A new schema with the named and typed fields (``"a long, b array<int>"``) after those given."""
+    return StructType([*schema.fields, *StructType.fromDDL(fields).fields])
+
+
 def doc_key(id_col: str, text_col: str) -> tuple[Column, Column]:
     """Two 64-bit numbers that tell documents apart: equal for rows of equal id and text only."""
     text = F.coalesce(F.col(text_col), F.lit(""))
