@@ -8,6 +8,7 @@ texts are encoded whole.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,13 @@ def encode(texts: pa.Array, path: str, spaces_matter: bool, end_id: int | None =
     ``spaces_matter``: white space before a word is part of its tokens.
     """
     known = _cache.setdefault((path, spaces_matter), {})
+    return encode_by_word(texts, lambda batch: _encode(path, batch), known, spaces_matter, end_id)
+
+
+def encode_by_word(
+    texts: pa.Array, encoder: Callable[[list[bytes]], list[np.ndarray]], known: dict[bytes, np.ndarray], spaces_matter: bool, end_id: int | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The same for any encoder of pieces of text; ``known`` keeps what words gave, up to a bound."""
     parts = chunks(texts)
     keys = parts.words if spaces_matter else [w.lstrip(SPACES) for w in parts.words]
     missing = sorted({k for k in keys if k not in known})
@@ -54,7 +62,7 @@ def encode(texts: pa.Array, path: str, spaces_matter: bool, end_id: int | None =
         known.clear()
         missing = sorted(set(keys))
     for start in range(0, len(missing), 4096):
-        known.update(zip(missing[start : start + 4096], _encode(path, missing[start : start + 4096])))
+        known.update(zip(missing[start : start + 4096], encoder(missing[start : start + 4096])))
     of_word = [known[k] for k in keys]
     lengths = np.array([len(x) for x in of_word], np.int64)
     flat = np.concatenate(of_word) if of_word else np.empty(0, np.uint32)
@@ -69,7 +77,7 @@ def encode(texts: pa.Array, path: str, spaces_matter: bool, end_id: int | None =
             last = np.zeros(len(parts.codes), bool)
             last[parts.first[1:][parts.first[1:] > parts.first[:-1]] - 1] = True
             for d in np.unique(np.searchsorted(parts.first, np.flatnonzero(odd[parts.codes] & ~last), side="right") - 1).tolist():
-                pieces[d] = _encode(path, [parts.body[parts.at[d] : parts.at[d + 1]].tobytes()])[0]
+                pieces[d] = encoder([parts.body[parts.at[d] : parts.at[d + 1]].tobytes()])[0]
     if end_id is not None:
         tail = np.array([end_id], np.uint32)
         pieces = [x for p in pieces for x in (p, tail)]
