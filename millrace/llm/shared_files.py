@@ -30,14 +30,14 @@ def new_file(path: str) -> Iterator[NativeFile]:
     system, inner = located(path)
     folder, _, name = inner.rpartition("/")
     draft = f"{folder}/.{name}-{uuid.uuid4().hex}"
-    with system.open_output_stream(draft) as out:
+    with system.open_output_stream(draft, compression=None) as out:
         yield out
     system.move(draft, inner)
 
 
 def open_file(path: str) -> NativeFile:
     system, inner = located(path)
-    return system.open_input_stream(inner)
+    return system.open_input_stream(inner, compression=None)
 
 
 def read_exactly(stream, size: int) -> bytes:
