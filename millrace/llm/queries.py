@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.session import Tables
 
-_MODULES = ("classify", "near", "packing", "vbyte", "warc", "rules", "transducer", "lines")
+_MODULES = ("classify", "near", "packing", "vbyte", "warc", "rules", "search", "transducer", "lines")
 
 _registry: dict[str, Callable[[Tables], DataFrame]] = {}
 _sql: dict[str, str] = {}
