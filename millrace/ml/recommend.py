@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.joins import lookup
 from millrace.operators.similarity import nearest_vectors
+from millrace.storage import materialize
 
 
 def als(rank: int = 10, iterations: int = 10, reg: float = 0.01, nonnegative: bool = False, seed: int = 1) -> ALS:
@@ -51,5 +52,6 @@ def similar_factors(model: ALSModel, item: int, k: int = 10) -> DataFrame:
 
 def item_mean_predictions(ratings: DataFrame) -> DataFrame:
     """A deterministic baseline: each (user, item) is predicted the item's mean rating."""
-    means = ratings.groupBy("item_id").agg(F.avg("rating").alias("prediction"))
+    # Stored, so that both sides meet through a plain exchange and Spark can split a hot item.
+    means = materialize(ratings.groupBy("item_id").agg(F.avg("rating").alias("prediction")), "means")
     return ratings.join(means, "item_id").select("user_id", "item_id", "rating", "prediction")

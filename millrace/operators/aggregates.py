@@ -8,8 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ranking import with_running_sums
-from millrace.storage import materialize
+from millrace.operators.ranking import with_position, with_running_sums
 
 
 def histogram(df: DataFrame, keys: str | Sequence[str], name: str = "n") -> DataFrame:
@@ -120,9 +119,14 @@ def matches_per_column(df: DataFrame, marker: str, columns: Sequence[str] | None
     )
 
 
-def contingency(df: DataFrame, row: str, col: str, values: Sequence[object]) -> DataFrame:
-    """Two-way count table, one output column per listed value of ``col``, absent cells 0."""
-    return df.groupBy(row).pivot(col, list(values)).agg(F.count(F.lit(1))).na.fill(0)
+def contingency(df: DataFrame, row: str, col: str, values: Sequence[object], other: str = "other") -> DataFrame:
+    """Two-way count table, one output column per listed value of ``col``, absent cells 0.
+
+    What is not listed, nulls included, is counted in column ``other``, so a row's cells add up to its rows.
+    """
+    cells = [F.count_if(F.col(col) == v).alias(str(v)) for v in values]
+    rest = F.count_if(~F.coalesce(F.col(col).isin(*values), F.lit(False))).alias(other)
+    return df.groupBy(row).agg(*cells, rest)
 
 
 def contingency_long(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -234,26 +238,12 @@ def value_runs(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def grouped_values(df: DataFrame, key: str, value: str, max_values: int = 10_000) -> DataFrame:
-    """All values of each key in one row, as text ``value:count`` items in value order.
+def joined_distinct(df: DataFrame, column: str, sep: str = ", ", block: int = 512) -> DataFrame:
+    """Distinct values of a column as text, in order: row ``block`` n joins the values from ``block * n`` on.
 
-    A row's length depends on how many different values a key has, not on how many rows. Fails,
-    never cuts, when a key has more than ``max_values`` different ones; use :func:`value_runs` then.
+    A category column fills one row; any number of values fills as many rows as it needs, so no
+    row grows with the data. Nulls are left out.
     """
-    runs = materialize(value_runs(df, key, value), "runs")
-    widest = runs.groupBy(key).agg(F.count(F.lit(1)).alias("m")).agg(F.max("m")).first()[0] or 0
-    if widest > max_values:
-        raise ValueError(f"a {key} has {widest} different values of {value}")
-    item = F.struct(F.col(value).alias("v"), F.col("n").alias("n"))
-    per_key = runs.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("items"), F.sum("n").alias("n"))
-    text = F.transform("items", lambda i: F.concat_ws(":", i["v"].cast("string"), i["n"].cast("string")))
-    return per_key.select(key, F.array_join(text, ",").alias("vals"), "n")
-
-
-def joined_distinct(df: DataFrame, column: str, sep: str = ", ", max_values: int = 10_000) -> DataFrame:
-    """Distinct values of a category column as one text. Fails, never cuts, above ``max_values``."""
     values = df.select(F.col(column).cast("string").alias("v")).filter(F.col("v").isNotNull()).distinct()
-    found = values.limit(max_values + 1).collect()
-    if len(found) > max_values:
-        raise ValueError(f"{column} has more than {max_values} distinct values; write them as a table instead")
-    return df.sparkSession.createDataFrame([(sep.join(sorted(r["v"] for r in found)),)], "vals string")
+    placed = with_position(values, [F.col("v")], "at").select((F.col("at") / block).cast("long").alias("block"), "v")
+    return placed.groupBy("block").agg(F.array_join(F.sort_array(F.collect_list("v")), sep).alias("vals"))

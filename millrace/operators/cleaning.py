@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import modes, quantiles
+from millrace.storage import materialize
 
 
 def fill_mean(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -75,4 +76,5 @@ def suspicious_users(
 
 
 def drop_suspicious(ratings: DataFrame, **rules: float) -> DataFrame:
-    return ratings.join(suspicious_users(ratings, **rules).select("user_id"), "user_id", "left_anti")
+    flagged = materialize(suspicious_users(ratings, **rules).select("user_id"), "flagged")  # a plain exchange lets a hot user be split
+    return ratings.join(flagged, "user_id", "left_anti")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.strings import adjacency_id, adjacency_neighbours
 from millrace.operators.aggregates import argmax
-from millrace.operators.joins import lookup
+from millrace.operators.joins import lookup_few
 from millrace.storage import materialize
 
 
@@ -34,7 +36,7 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 def top_degrees(edges: DataFrame, names: DataFrame, k: int = 10) -> DataFrame:
     top = degrees(edges).orderBy(F.desc("degree"), "id").limit(k)
-    return lookup(top, names, "id", "id", ["name"]).orderBy(F.desc("degree"), "id")
+    return lookup_few(top, names, "id", "id", ["name"]).orderBy(F.desc("degree"), "id")
 
 
 def connection_counts(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -47,34 +49,35 @@ def connection_counts(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def most_connected(lines: DataFrame, names: DataFrame) -> DataFrame:
     """The id with most listed connections, with its name."""
-    return lookup(argmax(connection_counts(lines), "connections", "id"), names, "id", "id", ["name"])
+    return lookup_few(argmax(connection_counts(lines), "connections", "id"), names, "id", "id", ["name"])
 
 
 def bfs_levels(
-    edges: DataFrame, root: int, max_depth: int = 10, target: int | None = None, broadcast_rows: int = 100_000
+    edges: DataFrame, root: int, max_depth: int | None = None, target: int | None = None, broadcast_rows: int = 100_000, stored: bool = False
 ) -> tuple[DataFrame, int | None, int]:
-    """Distances from ``root`` along (src, dst), at most ``max_depth``.
+    """Distances from ``root`` along (src, dst): all of them, or up to ``max_depth`` if the caller asks.
 
     Returns ``(levels(id, distance), target distance, frontier vertices that reached it)`` and stops
     early once ``target`` is reached. One level costs one join of the frontier with the edges; the
     frontier is counted anyway, and is broadcast while that count is below ``broadcast_rows``.
-    The edges are written to the shared folder once and every level is added there, so no level
-    derives the edges again and lineage stays one step long.
+    The edges are written to the shared folder once (``stored``: they are there already) and every
+    level is added there, so no level derives the edges again and lineage stays one step long.
     """
     spark = edges.sparkSession
-    edges = materialize(edges.select("src", "dst"), "edges")
+    edges = edges if stored else materialize(edges.select("src", "dst"), "edges")
     id_type = edges.schema["src"].dataType.simpleString()
     frontier = materialize(
         spark.range(1).select(F.lit(root).cast(id_type).alias("id"), F.lit(0).alias("distance")), "bfs"
     )
     seen, size, hits = frontier, 1, 0
     found = 0 if target == root else None
-    for depth in range(1, max_depth + 1):
-        if size == 0 or found is not None:
+    for depth in itertools.count(1):
+        if size == 0 or found is not None or (max_depth is not None and depth > max_depth):
             break
         heads = frontier.select(F.col("id").alias("src"))
         step = edges.join(F.broadcast(heads) if size <= broadcast_rows else heads, "src")
         if target is not None:
+            step = materialize(step, "bfs_step")
             hits = step.filter(F.col("dst") == target).select("src").distinct().count()
             found = depth if hits else None
         reached = step.select(F.col("dst").alias("id")).distinct().join(seen.select("id"), "id", "left_anti")
@@ -84,13 +87,13 @@ def bfs_levels(
     return seen, found, hits
 
 
-def distances(edges: DataFrame, all_vertices: DataFrame, root: int, max_depth: int = 10, unreached: int = 9999) -> DataFrame:
-    """Distance of every vertex; those not reached within ``max_depth`` get ``unreached``."""
-    levels, _, _ = bfs_levels(edges, root, max_depth)
+def distances(edges: DataFrame, all_vertices: DataFrame, root: int, max_depth: int | None = None, unreached: int = 9999, stored: bool = False) -> DataFrame:
+    """Distance of every vertex; those not reached (within ``max_depth``, if given) get ``unreached``."""
+    levels, _, _ = bfs_levels(edges, root, max_depth, stored=stored)
     return all_vertices.join(levels, "id", "left").withColumn("distance", F.coalesce("distance", F.lit(unreached)))
 
 
-def separation(edges: DataFrame, root: int, target: int, max_depth: int = 10) -> DataFrame:
+def separation(edges: DataFrame, root: int, target: int, max_depth: int | None = None) -> DataFrame:
     """One row: distance from root to target (null when not reached) and the frontier vertices that hit it."""
     _, found, hits = bfs_levels(edges, root, max_depth, target=target)
     row = [(root, target, found, hits)]

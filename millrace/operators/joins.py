@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.storage import broadcast_if_small
+from millrace.storage import broadcast_if_small, materialize
 
 
 def lookup(facts: DataFrame, names: DataFrame, fact_key: str, name_key: str, columns: Sequence[str]) -> DataFrame:
@@ -20,6 +20,12 @@ def lookup(facts: DataFrame, names: DataFrame, fact_key: str, name_key: str, col
     return facts.join(broadcast_if_small(dim), F.col(fact_key) == F.col("_key"), "left").drop("_key")
 
 
+def lookup_few(few: DataFrame, names: DataFrame, fact_key: str, name_key: str, columns: Sequence[str]) -> DataFrame:
+    """The same for the rows of a ``limit``: they are what is broadcast, and the dimension is only scanned."""
+    dim = names.select(F.col(name_key).alias("_key"), *columns)
+    return dim.join(F.broadcast(few), F.col(fact_key) == F.col("_key"), "right").select(*[few[c] for c in few.columns], *columns)
+
+
 def left_outer_where(left: DataFrame, right: DataFrame, key: str, left_condition: Column) -> DataFrame:
     """Left outer join whose match needs an equal key and a test on the left row.
 
@@ -32,8 +38,12 @@ def left_outer_where(left: DataFrame, right: DataFrame, key: str, left_condition
 
 
 def exclude(df: DataFrame, flagged: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not in ``flagged``: one anti join, however many keys are flagged."""
-    return df.join(flagged.select(key).distinct(), key, "left_anti")
+    """Rows whose key is not in ``flagged``: one anti join, however many keys are flagged.
+
+    The keys are stored first, so that both sides reach the join through a plain exchange and
+    Spark can split a key that holds much of ``df``.
+    """
+    return df.join(materialize(flagged.select(key).distinct(), "flagged"), key, "left_anti")
 
 
 def totals_joined(facts: DataFrame, fact_key: str, aggs: Sequence[Column], dim: DataFrame, dim_key: str) -> DataFrame:
@@ -46,20 +56,15 @@ def totals_joined(facts: DataFrame, fact_key: str, aggs: Sequence[Column], dim:
     return per_key.join(dim, F.col(fact_key) == F.col(dim_key), "inner")
 
 
-def lookup_by_udf(facts: DataFrame, names: DataFrame, fact_key: str, name_key: str, name: str, output: str, max_rows: int = 100_000) -> DataFrame:
-    """The same lookup through an Arrow UDF over a broadcast map.
+def lookup_by_udf(facts: DataFrame, names: DataFrame, fact_key: str, name_key: str, name: str, output: str) -> DataFrame:
+    """The lookup with its value read by an Arrow function: a join finds the entry, the function reads it.
 
-    Kept for callers whose mapping is a driver-side table. A map of more than ``max_rows`` entries
-    is not collected; the join does the work then.
+    For callers whose value needs Python; a mapping of any size stays a table.
     """
-    dim = names.select(F.col(name_key).alias("k"), F.col(name).alias(output))
-    rows = dim.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return lookup(facts, dim, fact_key, "k", [output])
-    table = facts.sparkSession.sparkContext.broadcast({r["k"]: r[output] for r in rows})
+    found = lookup(facts, names.withColumnRenamed(name, "_value"), fact_key, name_key, ["_value"])
 
     @F.pandas_udf("string")
-    def name_of(keys: pd.Series) -> pd.Series:
-        return keys.map(table.value)
+    def read(values: pd.Series) -> pd.Series:
+        return values.map(str, na_action="ignore")
 
-    return facts.withColumn(output, name_of(F.col(fact_key)))
+    return found.withColumn(output, read(F.col("_value"))).drop("_value")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import lookup
+from millrace.operators.joins import lookup_few
 from millrace.storage import broadcast_if_small, materialize
 
 
@@ -60,7 +60,7 @@ def co_rated_sums(
     ratings = materialize(ratings.select("user_id", "item_id", "rating"), "ratings")
     if min_pairs > 1:
         common = ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pairs)
-        ratings = ratings.join(common.select("item_id"), "item_id", "left_semi")
+        ratings = ratings.join(materialize(common.select("item_id"), "common_items"), "item_id", "left_semi")
     per_user = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     # at most min_pairs rows come to the driver here
     top = per_user.orderBy(F.desc("n"), "user_id").limit(max(min_pairs, 1)).collect()
@@ -117,7 +117,7 @@ def similar_items(
     )
     best = scored.filter((F.col("score") > min_score) & (F.col("n_pairs") >= min_pairs))
     order = [F.desc("score"), F.desc("n_pairs"), F.col("item_id")]
-    return lookup(best.orderBy(*order).limit(k), names, "item_id", "id", ["name"])
+    return lookup_few(best.orderBy(*order).limit(k), names, "item_id", "id", ["name"])
 
 
 def nearest_vectors(df: DataFrame, key: str, vector: str, target: object, k: int = 10, digits: int = 6) -> DataFrame:

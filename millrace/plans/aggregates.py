@@ -231,7 +231,8 @@ def _(t):
 
 @query(
     "agg_pivot_contingency",
-    "SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS F, count(*) FILTER (o_orderstatus = 'O') AS O, count(*) FILTER (o_orderstatus = 'P') AS P FROM orders GROUP BY 1",
+    """SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS F, count(*) FILTER (o_orderstatus = 'O') AS O, count(*) FILTER (o_orderstatus = 'P') AS P,
+      count(*) FILTER (coalesce(o_orderstatus NOT IN ('F', 'O', 'P'), true)) AS other FROM orders GROUP BY 1""",
 )
 def _(t):
     return agg.contingency(t.orders, "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
@@ -244,6 +245,7 @@ _FLAG_STATUS = [f"{f}_{s}" for f in "ANR" for s in "FO"]
     "agg_crosstab",
     "SELECT l_linenumber, "
     + ", ".join(f"count(*) FILTER (l_returnflag || '_' || l_linestatus = '{v}') AS {v}" for v in _FLAG_STATUS)
+    + f", count(*) FILTER (coalesce(l_returnflag || '_' || l_linestatus NOT IN ({', '.join(repr(v) for v in _FLAG_STATUS)}), true)) AS other"
     + " FROM lineitem GROUP BY l_linenumber",
 )
 def _(t):
@@ -311,11 +313,10 @@ def _(t):
 
 @query(
     "agg_collect_group",
-    f"""WITH {derived.RATINGS}, runs AS (SELECT item_id, rating, count(*) AS m FROM ratings GROUP BY 1, 2)
-    SELECT item_id, string_agg(rating || ':' || m, ',' ORDER BY rating) AS vals, CAST(sum(m) AS BIGINT) AS n FROM runs GROUP BY item_id""",
+    f"WITH {derived.RATINGS} SELECT item_id, rating, count(*) AS n FROM ratings GROUP BY 1, 2",
 )
 def _(t):
-    return agg.grouped_values(derived.ratings(t), "item_id", "rating")
+    return agg.value_runs(derived.ratings(t), "item_id", "rating")
 
 
 @query("agg_sql_avg_group", "SELECT p_brand, round(avg(p_retailprice), 4) AS mean FROM part GROUP BY p_brand")

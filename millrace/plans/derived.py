@@ -57,7 +57,7 @@ ratings AS (
 def lists(t: Tables) -> tuple[DataFrame, DataFrame]:
     """(ranked, liked): ten best own items per user by mean rating, and the items rated 4 or 5."""
     r = stored_ratings(t)
-    means = r.groupBy("item_id").agg(F.round(F.avg("rating"), 6).alias("score"))
+    means = materialize(r.groupBy("item_id").agg(F.round(F.avg("rating"), 6).alias("score")), "means")
     ranked = ranked_predictions(r.join(means, "item_id"), "score", 10)
     return ranked, r.filter("rating >= 4").select("user_id", "item_id")
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from millrace.operators import graph
 from millrace.plans import derived
 from millrace.plans.catalog import query
+from millrace.storage import materialize
 
 _ROOT, _TARGET = 0, 2
 _BFS = (
     derived.GRAPH
     + """,
-bfs(id, d) AS (SELECT CAST(0 AS BIGINT), 0 UNION SELECT e.dst, b.d + 1 FROM bfs b JOIN edges e ON e.src = b.id WHERE b.d < 10),
+bfs(id, d) AS (SELECT CAST(0 AS BIGINT), 0 UNION SELECT e.dst, b.d + 1 FROM bfs b JOIN edges e ON e.src = b.id WHERE b.d < 60),
 levels AS (SELECT id, min(d) AS distance FROM bfs GROUP BY id)"""
 )
 
@@ -22,8 +23,9 @@ levels AS (SELECT id, min(d) AS distance FROM bfs GROUP BY id)"""
     f"WITH {derived.GRAPH} SELECT src, dst, coalesce(a.name, 'Nobody') AS src_name, coalesce(b.name, 'Nobody') AS dst_name FROM edges LEFT JOIN names a ON src = a.id LEFT JOIN names b ON dst = b.id",
 )
 def _(t):
-    edges = graph.edges_from_lines(derived.graph_lines(t))
-    named = graph.vertices(edges, derived.graph_names(t))
+    # Both stored, so that the two joins get plain exchanges and Spark can split a hub vertex.
+    edges = materialize(graph.edges_from_lines(derived.graph_lines(t)), "edges")
+    named = materialize(graph.vertices(edges, derived.graph_names(t)), "vertices")
     src = named.select(F.col("id").alias("src"), F.col("name").alias("src_name"))
     dst = named.select(F.col("id").alias("dst"), F.col("name").alias("dst_name"))
     return edges.join(src, "src").join(dst, "dst").select("src", "dst", "src_name", "dst_name")
@@ -52,8 +54,8 @@ def _(t):
     f"WITH RECURSIVE {_BFS} SELECT v.id, coalesce(distance, 9999) AS distance FROM (SELECT DISTINCT src AS id FROM edges) v LEFT JOIN levels l ON v.id = l.id",
 )
 def _(t):
-    edges = derived.graph_edges(t)
-    return graph.distances(edges, edges.select(F.col("src").alias("id")).distinct(), _ROOT)
+    edges = materialize(derived.graph_edges(t), "edges")
+    return graph.distances(edges, edges.select(F.col("src").alias("id")).distinct(), _ROOT, stored=True)
 
 
 @query(

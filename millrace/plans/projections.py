@@ -182,7 +182,11 @@ def _(t):
     return t.customer.select("c_custkey", F.regexp_extract("c_name", r".*#(\d+)", 1).try_cast("int").alias("number"))
 
 
-@query("str_join_distinct", "SELECT string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS vals FROM orders")
+@query(
+    "str_join_distinct",
+    """WITH v AS (SELECT DISTINCT o_orderpriority AS v FROM orders WHERE o_orderpriority IS NOT NULL), p AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS place FROM v)
+    SELECT CAST(place // 512 AS BIGINT) AS block, string_agg(v, ', ' ORDER BY v) AS vals FROM p GROUP BY 1""",
+)
 def _(t):
     return joined_distinct(t.orders, "o_orderpriority")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.logs import log_fields, log_time
-from millrace.operators.ranking import top_per_key
+from millrace.operators.ranking import rank_within, top_per_key
 from millrace.plans import derived
 from millrace.plans.catalog import query
 from millrace.streaming import counts
@@ -21,27 +21,23 @@ def _(t):
     "stm_sliding_topk",
     f"""WITH {derived.LOG_FIELDS}, good AS (SELECT CAST(epoch(seen_at) AS BIGINT) AS s, endpoint FROM logs WHERE NOT bad),
     spread AS (SELECT s // 21600 * 21600 - 21600 * i AS window_start, endpoint FROM good, (SELECT unnest(range(4)) AS i)),
-    counted AS (SELECT window_start, window_start + 86400 AS window_end, endpoint AS key, count(*) AS n FROM spread
-      WHERE window_start + 86400 <= (SELECT max(s) FROM good) GROUP BY 1, 3)
-    SELECT window_start, window_end, key, n, CAST(rank AS INTEGER) AS rank FROM (
-      SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY n DESC, key) AS rank FROM counted) WHERE rank <= 3""",
+    counted AS (SELECT window_start, window_start + 86400 AS window_end, endpoint AS key, count(*) AS n FROM spread GROUP BY 1, 3)
+    SELECT window_start, window_end, key, CAST(n AS BIGINT) AS n, row_number() OVER (PARTITION BY window_start ORDER BY n DESC, key) AS rank FROM counted""",
 )
 def _(t):
     lines = counts.watch_text(t.spark, derived.log_folder(t))
     parsed = lines.select(*log_fields(F.col("value"))).withColumn("at", log_time(F.col("timestamp"))).filter("at IS NOT NULL")
-    windows = counts.window_counts(parsed, "at", F.col("endpoint"), "1 day", "6 hours")
-    closed = counts.drain_to_table(windows, "endpoint-windows")
-    top = top_per_key(closed, ["window_start"], [F.desc("n"), F.col("key")], 3)
-    return top.select(F.unix_timestamp("window_start").alias("window_start"), F.unix_timestamp("window_end").alias("window_end"), "key", "n", "rank")
+    windows = counts.drain_windows(parsed, "at", F.col("endpoint"), "1 day", "6 hours", "endpoint-windows")
+    ranked = rank_within(windows, ["window_start"], [F.desc("n"), F.col("key")])
+    return ranked.select(F.unix_timestamp("window_start").alias("window_start"), F.unix_timestamp("window_end").alias("window_end"), "key", "n", "rank")
 
 
 @query(
     "stm_hashtag_window",
-    """WITH tags AS (SELECT CAST(epoch_us(ts) // 1000000 AS BIGINT) AS s, epoch_us(ts) / 1000000.0::DOUBLE AS exact, '#' || event_type AS tag FROM events
-      UNION ALL SELECT CAST(epoch_us(ts) // 1000000 AS BIGINT), epoch_us(ts) / 1000000.0::DOUBLE, '#user' || (user_id % 10) FROM events),
+    """WITH tags AS (SELECT CAST(epoch_us(ts) // 1000000 AS BIGINT) AS s, '#' || event_type AS tag FROM events
+      UNION ALL SELECT CAST(epoch_us(ts) // 1000000 AS BIGINT), '#user' || (user_id % 10) FROM events),
     spread AS (SELECT s // 3600 * 3600 - 3600 * i AS window_start, tag FROM tags, (SELECT unnest(range(6)) AS i)),
-    counted AS (SELECT window_start, window_start + 21600 AS window_end, tag, CAST(count(*) AS BIGINT) AS n FROM spread
-      WHERE window_start + 21600 <= (SELECT max(exact) FROM tags) GROUP BY 1, 3)
+    counted AS (SELECT window_start, window_start + 21600 AS window_end, tag, CAST(count(*) AS BIGINT) AS n FROM spread GROUP BY 1, 3)
     SELECT window_start, window_end, tag, n FROM (
       SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY n DESC, tag) AS rank FROM counted) WHERE rank <= 10""",
 )
@@ -51,6 +47,6 @@ def _(t):
         F.col("ts").cast("timestamp").alias("ts"),
         F.concat_ws(" ", F.lit("saw"), F.concat(F.lit("#"), "event_type"), F.concat(F.lit("#user"), (F.col("user_id") % 10).cast("string")), F.lit("again")).alias("text"),
     )
-    closed = counts.drain_to_table(counts.tag_counts(posts, "ts", "text", "6 hours", "1 hour"), "tag-windows")
-    top = top_per_key(closed, ["window_start"], [F.desc("n"), F.col("tag")], 10)
-    return top.select(F.unix_timestamp("window_start").alias("window_start"), F.unix_timestamp("window_end").alias("window_end"), "tag", "n")
+    windows = counts.drain_windows(counts.tagged(posts, "ts", "text"), "ts", F.col("tag"), "6 hours", "1 hour", "tag-windows")
+    top = top_per_key(windows, ["window_start"], [F.desc("n"), F.col("key")], 10)
+    return top.select(F.unix_timestamp("window_start").alias("window_start"), F.unix_timestamp("window_end").alias("window_end"), F.col("key").alias("tag"), "n")

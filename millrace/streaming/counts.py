@@ -1,7 +1,8 @@
-"""Streaming counts: running, sliding-window and tag counts, with bounded state."""
+"""Streaming counts: running, sliding-window and tag counts; windows lose no row, early or late."""
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,35 +35,54 @@ def status_counts(lines: DataFrame) -> DataFrame:
     return lines.select(*log_fields(F.col("value"))).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-def window_counts(df: DataFrame, ts: str, key: Column, length: str, slide: str | None = None, delay: str = "0 seconds") -> DataFrame:
-    """Rows per (event-time window, key). The watermark lets closed windows leave the state."""
-    marked = df.withWatermark(ts, delay)
-    return (
-        marked.groupBy(F.window(ts, length, slide or length).alias("w"), key.alias("key"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "key", "n")
-    )
+def step_of(spark: SparkSession, length: str, slide: str) -> str:
+    """The longest step that windows of ``length`` every ``slide`` are made of, in seconds."""
+    row = spark.sql(f"SELECT CAST(TIMESTAMP'1970-01-01 00:00:00' + INTERVAL {length} AS LONG), CAST(TIMESTAMP'1970-01-01 00:00:00' + INTERVAL {slide} AS LONG)").first()
+    return f"{math.gcd(*row)} seconds"
+
+
+def windowed(partials: DataFrame, length: str, slide: str) -> DataFrame:
+    """Counts per (step, key), summed into every window that holds the step."""
+    summed = partials.groupBy(F.window("step", length, slide).alias("w"), "key").agg(F.sum("n").alias("n"))
+    return summed.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "key", "n")
 
 
-def tag_counts(df: DataFrame, ts: str, text: str, length: str, slide: str, delay: str = "0 seconds", mark: str = "#") -> DataFrame:
-    """Counts of words starting with ``mark`` over a long window moving in short steps.
+def drain_windows(stream: DataFrame, ts: str, key: Column, length: str, slide: str | None = None, label: str = "windows") -> DataFrame:
+    """Rows per (event-time window, key) of all that is there, late rows and open windows included.
 
-    Words are first counted per step, and only these step counts are spread over the windows that
-    hold the step, so that a row is not multiplied by ``length / slide``. The watermark sees every
-    row, with or without a tag, so quiet periods still close windows.
+    Every batch writes its own counts per (step, key) to the shared folder, under its number, so a
+    batch that runs again replaces what it wrote. No state is kept, a late row just adds to its
+    step, and the result does not depend on how files fall into batches. A row is not multiplied by
+    ``length / slide``: only step counts are spread over windows, when they are read.
     """
-    words = df.withWatermark(ts, delay).select(ts, F.explode(tokens(F.col(text))).alias("tag"))
-    tags = words.filter(F.col("tag").startswith(mark))
-    steps = tags.groupBy(F.window(ts, slide).alias("step"), "tag").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        steps.groupBy(F.window("step", length, slide).alias("w"), "tag")
-        .agg(F.sum("n").alias("n"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "tag", "n")
+    spark = stream.sparkSession
+    slide = slide or length
+    step = step_of(spark, length, slide)
+    out = scratch_path(spark, label)
+
+    def counted(rows: DataFrame) -> DataFrame:
+        steps = rows.filter(F.col(ts).isNotNull()).groupBy(F.window(ts, step).alias("w"), key.alias("key"))
+        return steps.agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("step"), "key", "n")
+
+    nothing = counted(spark.createDataFrame([], stream.schema))
+    nothing.write.parquet(f"{out}/batch=-1")
+    query = (
+        stream.writeStream.foreachBatch(lambda rows, number: counted(rows).write.mode("overwrite").parquet(f"{out}/batch={number}"))
+        .option("checkpointLocation", scratch_path(spark, f"{label}-state"))
+        .trigger(availableNow=True)
+        .start()
     )
+    query.awaitTermination()
+    return windowed(spark.read.schema(nothing.schema).parquet(f"{out}/batch=*"), length, slide)
+
+
+def tagged(df: DataFrame, ts: str, text: str, mark: str = "#") -> DataFrame:
+    """``ts`` and ``tag`` of every word that starts with ``mark``."""
+    return df.select(ts, F.explode(tokens(F.col(text))).alias("tag")).filter(F.col("tag").startswith(mark))
 
 
 def drain_to_table(stream: DataFrame, label: str) -> DataFrame:
-    """Process what is there, append closed results to a parquet table, and read it back.
+    """Process what is there, append it to a parquet table, and read it back.
 
     The table and the stream's own state both live in the shared folder.
     """

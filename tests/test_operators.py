@@ -123,23 +123,27 @@ def test_pivot_and_long_contingency_agree(spark):
     wide = agg.contingency(df, "k", "odd", ["y", "n", "never"])
     cells = {(r["left_value"], r["right_value"]): r["n"] for r in agg.contingency_long(df, [("k", "odd")]).collect()}
     for r in wide.collect():
-        assert (r["y"], r["n"], r["never"]) == (cells.get((r["k"], "y"), 0), cells.get((r["k"], "n"), 0), 0)
+        assert (r["y"], r["n"], r["never"], r["other"]) == (cells.get((r["k"], "y"), 0), cells.get((r["k"], "n"), 0), 0, 0)
     assert agg.largest_cells(df, ["k", "odd"]).first()["largest"] == max(cells.values())
 
 
 def test_grouped_values_keep_every_value(spark):
     df = spark.createDataFrame([(1, 5), (1, 5), (1, 3), (2, 4)], "k int, v int")
-    assert rows(agg.grouped_values(df, "k", "v")) == [(1, "3:1,5:2", 3), (2, "4:1", 1)]
     assert rows(agg.value_runs(df, "k", "v")) == [(1, 3, 1), (1, 5, 2), (2, 4, 1)]
-    with pytest.raises(ValueError):
-        agg.grouped_values(df, "k", "v", max_values=1)
+    assert agg.value_runs(spark.range(10_001).selectExpr("1 AS k", "id AS v"), "k", "v").count() == 10_001
 
 
-def test_joined_distinct_refuses_instead_of_cutting(spark):
+def test_unlisted_categories_are_counted(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "new"), ("a", None), ("b", "x")], "k string, c string")
+    assert rows(agg.contingency(df, "k", "c", ["x", "y"])) == [("a", 1, 0, 2), ("b", 1, 0, 0)]
+
+
+def test_joined_distinct_fills_as_many_rows_as_it_needs(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "c string")
-    assert rows(agg.joined_distinct(df, "c")) == [("a, b",)]
-    with pytest.raises(ValueError):
-        agg.joined_distinct(df, "c", max_values=1)
+    assert rows(agg.joined_distinct(df, "c")) == [(0, "a, b")]
+    many = agg.joined_distinct(spark.range(10_001).select(F.format_string("%06d", "id").alias("c")), "c", sep=" ")
+    got = rows(many)
+    assert len(got) == 20 and " ".join(r[1] for r in got).split() == [f"{i:06d}" for i in range(10_001)]
 
 
 def test_pair_correlations_agree_with_the_matrix(spark):
@@ -156,7 +160,6 @@ def test_lookup_forms_agree_and_keep_missing_ids(spark):
     joined = rows(joins.lookup(facts, names, "k", "id", ["name"]))
     assert joined == [(1, 10, "one"), (2, 20, "two"), (9, 30, None)]
     assert rows(joins.lookup_by_udf(facts, names, "k", "id", "name", "name")) == joined
-    assert rows(joins.lookup_by_udf(facts, names, "k", "id", "name", "name", max_rows=1)) == joined
 
 
 def test_left_outer_condition_keeps_all_rows(spark):

@@ -1,5 +1,7 @@
 import datetime
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -22,30 +24,59 @@ def test_running_count_over_several_batches(spark, tmp_path):
     assert rows(counts.drain_complete(stream, "t")) == [(None, 1), (200, 2), (404, 1)]
 
 
-def events(spark, tmp_path, stamps):
-    base = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
-    data = [(base + datetime.timedelta(seconds=s), word) for s, word in stamps]
-    path = str(tmp_path / "events.parquet")
-    spark.createDataFrame(data, "ts timestamp, text string").write.parquet(path)
-    return counts.watch_parquet(spark, path, spark.read.parquet(path).schema), int(base.timestamp())
+BASE = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
+
+
+def events(spark, tmp_path, files, per_batch=None):
+    """A stream of (ts, text) rows, one parquet file per list, in the order given."""
+    folder = tmp_path / "events"
+    for i, stamps in enumerate(files):
+        data = [(BASE + datetime.timedelta(seconds=s), word) for s, word in stamps]
+        spark.createDataFrame(data, "ts timestamp, text string").coalesce(1).write.mode("append").parquet(str(folder))
+        for new in folder.glob("part-*.parquet"):
+            if not new.name.startswith("part-x"):
+                new.rename(folder / f"part-x{i}.parquet")
+                os.utime(folder / f"part-x{i}.parquet", (1_000_000 + i, 1_000_000 + i))
+    reader = spark.readStream.schema("ts timestamp, text string")
+    return (reader.option("maxFilesPerTrigger", per_batch) if per_batch else reader).parquet(str(folder))
+
+
+def start():
+    return F.unix_timestamp("window_start") - int(BASE.timestamp())
 
 
 def test_one_event_counts_in_three_sliding_windows(spark, tmp_path):
-    stream, base = events(spark, tmp_path, [(35, "a"), (1000, "last")])
-    windows = counts.window_counts(stream, "ts", F.col("text"), "30 seconds", "10 seconds")
-    closed = counts.drain_to_table(windows, "w").filter("key = 'a'")
-    assert rows(closed.select((F.unix_timestamp("window_start") - base), "n")) == [(10, 1), (20, 1), (30, 1)]
+    stream = events(spark, tmp_path, [[(35, "a")]])
+    windows = counts.drain_windows(stream, "ts", F.col("text"), "30 seconds", "10 seconds")
+    assert rows(windows.select(start(), "n")) == [(10, 1), (20, 1), (30, 1)]
+
+
+@pytest.mark.parametrize("per_batch", [1, None])
+def test_late_and_open_windows_are_not_lost(spark, tmp_path, per_batch):
+    hour = 3600
+    files = [[(10, "a"), (20, "a")], [(hour + 5, "a")], [(5 * hour, "a"), (5 * hour + 1, "a")], [(30, "a")], [(9 * hour, "a")]]
+    windows = counts.drain_windows(events(spark, tmp_path, files, per_batch), "ts", F.col("text"), "1 hour")
+    assert rows(windows.select(start(), "n")) == [(0, 3), (hour, 1), (5 * hour, 2), (9 * hour, 1)]
+
+
+def test_windows_need_not_be_a_multiple_of_the_slide(spark, tmp_path):
+    windows = counts.drain_windows(events(spark, tmp_path, [[(24, "a")]]), "ts", F.col("text"), "25 seconds", "10 seconds")
+    assert rows(windows.select(start(), "n")) == [(0, 1), (10, 1), (20, 1)]
+
+
+def test_an_empty_folder_gives_no_windows(spark, tmp_path):
+    windows = counts.drain_windows(events(spark, tmp_path, [[]]), "ts", F.col("text"), "1 hour")
+    assert windows.count() == 0
 
 
 def test_tag_windows_match_direct_counts(spark, tmp_path):
     stamps = [(t, f"see #t{t % 3} and #all x") for t in range(0, 600, 7)] + [(5000, "end")]
-    stream, base = events(spark, tmp_path, stamps)
-    closed = counts.drain_to_table(counts.tag_counts(stream, "ts", "text", "300 seconds", "20 seconds"), "tags")
-    got = {(r[0], r[1]): r[2] for r in closed.select(F.unix_timestamp("window_start") - base, "tag", "n").collect()}
+    stream = events(spark, tmp_path, [stamps])
+    windows = counts.drain_windows(counts.tagged(stream, "ts", "text"), "ts", F.col("tag"), "300 seconds", "20 seconds")
+    got = {(r[0], r[1]): r[2] for r in windows.select(start(), "key", "n").collect()}
     expect = {}
     for t, text in stamps[:-1]:
         for tag in [w for w in text.split() if w.startswith("#")]:
-            for start in range(t // 20 * 20 - 280, t // 20 * 20 + 1, 20):
-                expect[start, tag] = expect.get((start, tag), 0) + 1
+            for first in range(t // 20 * 20 - 280, t // 20 * 20 + 1, 20):
+                expect[first, tag] = expect.get((first, tag), 0) + 1
     assert got == expect
-    assert min(got.values()) > 0
