@@ -197,6 +197,6 @@ def delete_repeated_runs(df: DataFrame, id_col: str = "doc_id", text_col: str =
     gone = materialize(gone, "deleted_runs")
     k1, k2 = doc_key(id_col, text_col)
     keyed = rest.withColumns({"_k1": k1, "_k2": k2})
-    joined = keyed.join(gone, (keyed["_k1"] == gone["_d1"]) & (keyed["_k2"] == gone["_d2"]), "left").select(*[f"`{c}`" for c in rest.columns], "_gone")
+    joined = keyed.join(gone.hint("merge"), (keyed["_k1"] == gone["_d1"]) & (keyed["_k2"] == gone["_d2"]), "left").select(*[f"`{c}`" for c in rest.columns], "_gone")
     at = [c.lower() for c in rest.columns].index(text_col.lower())
     return joined.mapInArrow(partial(_delete, text_at=at), extended(rest.schema, f"{RESULT} long"))
