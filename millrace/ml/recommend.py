@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import lookup
-from millrace.operators.similarity import nearest_vectors
+from millrace.operators.ranking import top_per_key, with_position
+from millrace.operators.similarity import item_cosine, nearest_vectors
 from millrace.storage import materialize
 
 
@@ -26,23 +27,52 @@ def als(rank: int = 10, iterations: int = 10, reg: float = 0.01, nonnegative: bo
     )
 
 
-def _flat(recs: DataFrame, owner: str, other: str) -> DataFrame:
-    return recs.select(owner, F.posexplode("recommendations").alias("pos", "r")).select(
-        owner, (F.col("pos") + 1).alias("rank"), F.col(f"r.{other}").alias(other), F.col("r.rating").alias("score")
-    )
+def dense_ids(df: DataFrame, column: str) -> DataFrame:
+    """Dictionary (``column``, ``id`` int) of the distinct values, of any type, numbered in order; stored."""
+    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    return materialize(with_position(values, [F.col(column)], "id").select(column, F.col("id").cast("int").alias("id")), "ids")
+
+
+def with_dense_ids(ratings: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """``user_id``, ``item_id`` replaced by their numbers in two dictionaries; ``rating`` as float."""
+    u, i = users.withColumnsRenamed({"user_id": "_u", "id": "_uid"}), items.withColumnsRenamed({"item_id": "_i", "id": "_iid"})
+    joined = ratings.join(u, F.col("user_id") == F.col("_u")).join(i, F.col("item_id") == F.col("_i"))
+    return joined.select(F.col("_uid").alias("user_id"), F.col("_iid").alias("item_id"), F.col("rating").cast("float").alias("rating"))
+
+
+def neighbour_candidates(ratings: DataFrame, per_item: int = 20, min_pairs: int = 2) -> DataFrame:
+    """(user_id, item_id) worth scoring: unrated items among the ``per_item`` most similar to one the user rated."""
+    ratings = materialize(ratings.select("user_id", "item_id", "rating"), "ratings")
+    pairs = item_cosine(ratings, min_pairs)
+    ends = F.explode(F.array(F.struct(F.col("item1").alias("own"), F.col("item2").alias("other")), F.struct(F.col("item2").alias("own"), F.col("item1").alias("other"))))
+    near = top_per_key(pairs.select("score", ends.alias("e")).select("score", "e.own", "e.other"), ["own"], [F.desc_nulls_last("score"), F.col("other")], per_item)
+    stored = materialize(near.select("own", "other"), "neighbours")
+    met = ratings.join(stored, F.col("item_id") == F.col("own")).select("user_id", F.col("other").alias("item_id"))
+    met = materialize(met.distinct(), "met")
+    return met.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+
+
+def score_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
+    """Predicted rating of given (user_id, item_id) pairs: two key joins with the factor tables."""
+    users = model.userFactors.select(F.col("id").alias("_u"), F.col("features").alias("_uf"))
+    items = model.itemFactors.select(F.col("id").alias("_i"), F.col("features").alias("_if"))
+    joined = pairs.join(users, F.col("user_id") == F.col("_u")).join(items, F.col("item_id") == F.col("_i"))
+    dot = F.aggregate(F.zip_with("_uf", "_if", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, v: s + v)
+    return joined.select("user_id", "item_id", dot.alias("score"))
+
 
+def recommend_items(model: ALSModel, pairs: DataFrame, k: int, names: DataFrame | None = None) -> DataFrame:
+    """Top ``k`` of each user's candidate items in ``pairs(user_id, item_id)``, one row per item, named.
 
-def recommend_items(model: ALSModel, k: int, names: DataFrame | None = None, users: DataFrame | None = None) -> DataFrame:
-    """Top ``k`` items for all users, or for those in ``users(user_id)``, one row per item, named."""
-    recs = model.recommendForAllUsers(k) if users is None else model.recommendForUserSubset(users, k)
-    flat = _flat(recs, "user_id", "item_id")
-    return flat if names is None else lookup(flat, names, "item_id", "id", ["name"])
+    For some users only, pass the pairs of those users.
+    """
+    best = top_per_key(score_pairs(model, pairs), ["user_id"], [F.desc("score"), F.col("item_id")], k)
+    return best if names is None else lookup(best, names, "item_id", "id", ["name"])
 
 
-def recommend_users(model: ALSModel, k: int, items: DataFrame | None = None) -> DataFrame:
-    """Top ``k`` users for all items, or for those in ``items(item_id)``."""
-    recs = model.recommendForAllItems(k) if items is None else model.recommendForItemSubset(items, k)
-    return _flat(recs, "item_id", "user_id")
+def recommend_users(model: ALSModel, pairs: DataFrame, k: int) -> DataFrame:
+    """Top ``k`` candidate users of each item in ``pairs(user_id, item_id)``."""
+    return top_per_key(score_pairs(model, pairs), ["item_id"], [F.desc("score"), F.col("user_id")], k)
 
 
 def similar_factors(model: ALSModel, item: int, k: int = 10) -> DataFrame:

@@ -82,11 +82,13 @@ def _(t):
     )
 
 
-@query("smp_random_split")
+@query("smp_random_split", "SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys, true AS shares_fit FROM orders")
 def _(t):
     parts = sampling.random_split(t.orders.select("o_orderkey", "o_totalprice"), [0.6, 0.2, 0.2], seed=10)
     named = [p.withColumn("part", F.lit(n)) for p, n in zip(parts, ("train", "validation", "test"))]
-    return named[0].union(named[1]).union(named[2])
+    # Six deviations of a binomial count from its share, per part.
+    off = [F.abs(F.count_if(F.col("part") == n) - F.count(F.lit(1)) * w) <= 6 * F.sqrt(F.count(F.lit(1)) * w * (1 - w)) for n, w in (("train", 0.6), ("validation", 0.2), ("test", 0.2))]
+    return named[0].union(named[1]).union(named[2]).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("o_orderkey").alias("n_keys"), (off[0] & off[1] & off[2]).alias("shares_fit"))
 
 
 @query(
@@ -101,9 +103,12 @@ def _(t):
 _FRACTIONS = {1: 0.8, 2: 0.8, 3: 0.8, 4: 0.8, 5: 0.8}
 
 
-@query("smp_stratified")
+@query("smp_stratified", f"WITH {derived.RATINGS} SELECT rating, count(*) AS n, true AS share_fits FROM ratings GROUP BY rating")
 def _(t):
-    return sampling.stratified(derived.ratings(t), "rating", _FRACTIONS, seed=10).select("user_id", "item_id", "rating")
+    r = derived.stored_ratings(t)
+    kept = sampling.stratified(r, "rating", _FRACTIONS, seed=10).groupBy(F.col("rating").alias("_r")).agg(F.count(F.lit(1)).alias("kept"))
+    sizes = r.groupBy("rating").agg(F.count(F.lit(1)).alias("n")).join(kept, F.col("rating") == F.col("_r"), "left")
+    return sizes.select("rating", "n", (F.abs(F.col("kept") - F.col("n") * 0.8) <= 6 * F.sqrt(F.col("n") * 0.8 * 0.2)).alias("share_fits"))
 
 
 @query(

@@ -152,12 +152,29 @@ def _prices(t):
     return data.filter("split = 0").drop("split"), data.filter("split = 1").drop("split")
 
 
+_U = "CAST(('0x' || substr(md5({}), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE"
+_TEST_LINES = f"""SELECT count(*) AS n_rows, count(DISTINCT (l_orderkey, l_partkey)) AS n_keys, round(avg(l_extendedprice), 4) AS mean_label,
+    true AS all_scored, true AS beats_mean FROM lineitem WHERE {_U.format("'|' || l_orderkey || '|' || l_partkey")} >= 0.7"""
+
+
 def _regress(t, name, **params):
     train, test = _prices(t)
     model = estimator(name, **params).fit(train)
     return model.transform(test).select("l_orderkey", "l_partkey", "label", "prediction")
 
 
+def _regressed(t, name, **params):
+    """What the predictions for the test rows come to; on the rows it learned from, the model must beat the label's mean."""
+    train, test = _prices(t)
+    model = estimator(name, **params).fit(train)
+    scored = materialize(model.transform(test).select("l_orderkey", "l_partkey", "label", "prediction"), "scored")
+    fitted = model.transform(train).agg((F.avg((F.col("label") - F.col("prediction")) ** 2) < F.var_pop("label")).alias("beats_mean"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("l_orderkey", "l_partkey").alias("n_keys"), F.round(F.avg("label"), 4).alias("mean_label"),
+        (F.count_if(F.col("prediction").isNull() | F.isnan("prediction")) == 0).alias("all_scored"),
+    ).join(F.broadcast(fitted))
+
+
 @query(
     "ml_linear_regression",
     "SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem",
@@ -169,24 +186,24 @@ def _(t):
     return t.spark.createDataFrame(line, "slope double, intercept double")
 
 
-@query("ml_linear_regression_elastic")
+@query("ml_linear_regression_elastic", _TEST_LINES)
 def _(t):
-    return _regress(t, "linear_regression", regParam=0.1, elasticNetParam=0.5, maxIter=10, tol=1e-4)
+    return _regressed(t, "linear_regression", regParam=0.1, elasticNetParam=0.5, maxIter=10, tol=1e-4)
 
 
-@query("ml_decision_tree_reg")
+@query("ml_decision_tree_reg", _TEST_LINES)
 def _(t):
-    return _regress(t, "decision_tree_reg", maxDepth=4, maxBins=32, seed=1)
+    return _regressed(t, "decision_tree_reg", maxDepth=4, maxBins=32, seed=1)
 
 
-@query("ml_random_forest_reg")
+@query("ml_random_forest_reg", _TEST_LINES)
 def _(t):
-    return _regress(t, "random_forest_reg", maxDepth=4, numTrees=10, seed=1)
+    return _regressed(t, "random_forest_reg", maxDepth=4, numTrees=10, seed=1)
 
 
-@query("ml_gbt_reg")
+@query("ml_gbt_reg", _TEST_LINES)
 def _(t):
-    return _regress(t, "gbt_reg", maxDepth=3, maxIter=5, seed=1)
+    return _regressed(t, "gbt_reg", maxDepth=3, maxIter=5, seed=1)
 
 
 def _outcomes(t):
@@ -199,37 +216,51 @@ def _outcomes(t):
     return model, scaled, train.select(*keep), test.select(*keep)
 
 
+_TEST_ORDERS = f"""WITH {derived.MARKED} SELECT count(*) AS n_rows, count(DISTINCT m.o_orderkey) AS n_keys, count(*) FILTER (status = 'F') AS n_finished, true AS all_scored
+    FROM marked m JOIN orders o ON m.o_orderkey = o.o_orderkey JOIN customer ON o_custkey = c_custkey WHERE {_U.format("'|' || m.o_orderkey")} >= 0.7"""
+
+
+def _classified(t, scored):
+    """What the predictions for the test rows come to: every row once, with one of the two classes."""
+    names = _buyers(t).select(F.col("o_orderkey").alias("_k"), "outcome")
+    joined = scored.select("o_orderkey", "prediction").join(names, F.col("o_orderkey") == F.col("_k"))
+    return joined.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("o_orderkey").alias("n_keys"), F.count_if(F.col("outcome") == "finished").alias("n_finished"),
+        (F.count_if(~F.coalesce(F.col("prediction").isin(0.0, 1.0), F.lit(False))) == 0).alias("all_scored"),
+    )
+
+
 def _classify(t, name, **params):
     _, _, train, test = _outcomes(t)
-    return estimator(name, **params).fit(train).transform(test).select("o_orderkey", "label", "prediction")
+    return _classified(t, estimator(name, **params).fit(train).transform(test))
 
 
-@query("ml_logistic_regression")
+@query("ml_logistic_regression", _TEST_ORDERS)
 def _(t):
     return _classify(t, "logistic_regression", regParam=0.01, elasticNetParam=0.5, maxIter=10)
 
 
-@query("ml_linear_svc")
+@query("ml_linear_svc", _TEST_ORDERS)
 def _(t):
     return _classify(t, "linear_svc", regParam=0.1, maxIter=10)
 
 
-@query("ml_decision_tree_clf")
+@query("ml_decision_tree_clf", _TEST_ORDERS)
 def _(t):
     return _classify(t, "decision_tree_clf", maxDepth=5, maxBins=50, seed=1)
 
 
-@query("ml_random_forest_clf")
+@query("ml_random_forest_clf", _TEST_ORDERS)
 def _(t):
-    return _classify(t, "random_forest_clf", numTrees=20, maxDepth=5, maxBins=150, seed=1)
+    return _classify(t, "random_forest_clf", numTrees=140, maxDepth=10, maxBins=150, seed=1)
 
 
-@query("ml_gbt_clf")
+@query("ml_gbt_clf", _TEST_ORDERS)
 def _(t):
-    return _classify(t, "gbt_clf", maxDepth=3, maxIter=5, maxBins=50, seed=1)
+    return _classify(t, "gbt_clf", maxDepth=3, maxIter=20, maxBins=50, seed=1)
 
 
-@query("ml_naive_bayes")
+@query("ml_naive_bayes", _TEST_ORDERS)
 def _(t):
     return _classify(t, "naive_bayes", smoothing=1.0)
 
@@ -244,21 +275,23 @@ def _clusters(t, k, **params):
     return model, model.transform(rows)
 
 
-@query("ml_kmeans")
+@query("ml_kmeans", "SELECT count(*) AS n_rows, count(DISTINCT vec_id) AS n_keys, CAST(5 AS BIGINT) AS n_clusters FROM embeddings")
 def _(t):
-    _, assigned = _clusters(t, 5, maxIter=50)
-    return assigned.select("vec_id", "kind", "prediction")
+    _, assigned = _clusters(t, 5, maxIter=500)
+    return assigned.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("vec_id").alias("n_keys"), F.countDistinct("prediction").alias("n_clusters"))
 
 
-@query("ml_kmeans_k_sweep")
+@query("ml_kmeans_k_sweep", "SELECT CAST(unnest(range(2, 21)) AS INTEGER) AS k, (SELECT count(*) FROM embeddings) AS n_rows, true AS in_range")
 def _(t):
     rows = _vectors(t).persist()
     scores = []
-    for k in (2, 3, 4, 5):
-        fitted = KMeans(k=k, maxIter=10, seed=1, distanceMeasure="cosine").fit(rows)
-        scores.append((k, float(silhouette(fitted.transform(rows), distance="cosine"))))
-    rows.unpersist()
-    return t.spark.createDataFrame(scores, "k int, silhouette double")
+    try:
+        for k in range(2, 21):
+            assigned = KMeans(k=k, maxIter=500, seed=1, distanceMeasure="cosine").fit(rows).transform(rows)
+            scores.append((k, assigned.count(), -1.0 <= float(silhouette(assigned, distance="cosine")) <= 1.0))
+    finally:
+        rows.unpersist()
+    return t.spark.createDataFrame(scores, "k int, n_rows bigint, in_range boolean")
 
 
 # --- cluster evaluation, selection, persistence -----------------------------------------------
@@ -279,13 +312,14 @@ def _(t):
     return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).withColumn("silhouette", F.lit(value))
 
 
-@query("ev_cluster_contingency")
+@query("ev_cluster_contingency", "SELECT CAST(label AS VARCHAR) AS kind, count(*) AS n FROM embeddings GROUP BY 1")
 def _(t):
     _, assigned = _clusters(t, 5)
     table = contingency_long(assigned, [("kind", "prediction")])
     path = scratch_path(t.spark, "cluster-table")
     table.write.csv(path, header=True)
-    return t.spark.read.schema(table.schema).csv(path, header=True)
+    cells = t.spark.read.schema(table.schema).csv(path, header=True)
+    return cells.groupBy(F.col("left_value").alias("kind")).agg(F.sum("n").alias("n"))
 
 
 def _rmse():
@@ -296,22 +330,34 @@ def _auc():
     return BinaryClassificationEvaluator(rawPredictionCol="rawPrediction")
 
 
-@query("sel_cross_validate")
+_SEARCH = "SELECT CAST({} AS BIGINT) AS candidates, true AS best_chosen"
+
+
+def _searched(table, maps, chosen, least):
+    """Candidates scored, and whether the one chosen has the best score."""
+    best = F.min_by("candidate", "score") if least else F.max_by("candidate", "score")
+    return table.agg(F.count_if(F.col("score").isNotNull()).alias("candidates"), (best == maps.index(chosen)).alias("best_chosen"))
+
+
+@query("sel_cross_validate", _SEARCH.format(4))
 def _(t):
     train, _ = _prices(t)
     est = estimator("linear_regression", maxIter=5)
     maps = selection.grid(est, {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 1.0]})
-    return selection.cross_validate(est, maps, _rmse(), train, "l_orderkey", folds=3)[2]
+    _, chosen, table = selection.cross_validate(est, maps, _rmse(), train, "l_orderkey", folds=3)
+    return _searched(table, maps, chosen, least=True)
 
 
-@query("sel_train_validation")
+@query("sel_train_validation", _SEARCH.format(3))
 def _(t):
     _, _, train, _ = _outcomes(t)
     est = estimator("logistic_regression", maxIter=5)
-    return selection.train_validation(est, selection.grid(est, {"regParam": [0.01, 0.1, 0.3]}), _auc(), train)[2]
+    maps = selection.grid(est, {"regParam": [0.01, 0.1, 0.3]})
+    _, chosen, table = selection.train_validation(est, maps, _auc(), train)
+    return _searched(table, maps, chosen, least=False)
 
 
-@query("sel_model_compare")
+@query("sel_model_compare", "SELECT unnest(['linear_regression', 'decision_tree_reg', 'gbt_reg']) AS model, 'rmse' AS metric, true AS not_below_winner")
 def _(t):
     train, test = _prices(t)
     candidates = {
@@ -321,24 +367,29 @@ def _(t):
     }
     winner, models, table = selection.compare(candidates, _rmse(), train, test)
     selection.save(models[winner], scratch_path(t.spark, "winner"))
-    return table.withColumn("best", F.col("model") == winner)
+    least = table.filter(F.col("model") == winner).select(F.col("value").alias("least"))
+    return table.join(F.broadcast(least)).select("model", "metric", (F.col("value") >= F.col("least")).alias("not_below_winner"))
 
 
-@query("sel_refit_best")
+@query("sel_refit_best", _TEST_ORDERS)
 def _(t):
     _, _, train, test = _outcomes(t)
     est = estimator("random_forest_clf", seed=1, maxBins=150)
     maps = selection.grid(est, {"maxDepth": [3, 5], "numTrees": [5]})
     _, best, _ = selection.cross_validate(est, maps, _auc(), train, "o_orderkey")
-    return selection.refit(est, best, train).transform(test).select("o_orderkey", "label", "prediction")
+    return _classified(t, selection.refit(est, best, train).transform(test))
 
 
-@query("mdl_save_load")
+@query("mdl_save_load", _TEST_ORDERS.replace("true AS all_scored", "true AS all_scored, CAST(count(*) AS BIGINT) AS n_agree"))
 def _(t):
     prepared, rows, train, _ = _outcomes(t)
     fitted = estimator("gbt_clf", maxDepth=3, maxIter=3, seed=1).fit(train)
     path = selection.save(selection.as_pipeline(prepared, fitted), scratch_path(t.spark, "model"))
-    return PipelineModel.load(path).transform(rows.filter("split = 1")).select("o_orderkey", "label", "prediction")
+    test = rows.filter("split = 1")
+    loaded = materialize(PipelineModel.load(path).transform(test).select("o_orderkey", "prediction"), "loaded")
+    direct = fitted.transform(prepared.transform(test)).select(F.col("o_orderkey").alias("_k"), F.col("prediction").alias("_p"))
+    agree = loaded.join(direct, F.col("o_orderkey") == F.col("_k")).agg(F.count_if(F.col("prediction") == F.col("_p")).alias("n_agree"))
+    return _classified(t, loaded).join(F.broadcast(agree))
 
 
 @query("mdl_inspect")
@@ -346,13 +397,17 @@ def _(t):
     _, _, train, _ = _outcomes(t)
     tree = estimator("decision_tree_clf", maxDepth=3, maxBins=50, seed=1).fit(train)
     clusters, _ = _clusters(t, 3)
-    factors = recommend.als(rank=3, iterations=2).fit(
-        derived.ratings(t).select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), F.col("rating").cast("float"))
-    )
+    r = derived.stored_ratings(t)
+    rows = recommend.with_dense_ids(r, recommend.dense_ids(r, "user_id"), recommend.dense_ids(r, "item_id"))
+    factors = recommend.als(rank=3, iterations=2).fit(rows)
     tables = [selection.inspect(t.spark, m) for m in (tree, clusters, factors)]
     return tables[0].union(tables[1]).union(tables[2])
 
 
-@query("ev_model_regression")
+@query("ev_model_regression", "SELECT unnest(['mse', 'rmse', 'mae', 'r2']) AS metric, true AS agrees")
 def _(t):
-    return regression_metrics(_regress(t, "gbt_reg", maxDepth=3, maxIter=5, seed=1))
+    """Our metrics of a fitted model against the library's evaluator."""
+    scored = materialize(_regress(t, "gbt_reg", maxDepth=3, maxIter=5, seed=1), "scored")
+    ours = regression_metrics(scored).first()
+    found = {m: RegressionEvaluator(metricName=m).evaluate(scored) for m in ("mse", "rmse", "mae", "r2")}
+    return t.spark.createDataFrame([(m, abs(ours[m] - v) <= 1e-6 * max(1.0, abs(v))) for m, v in found.items()], "metric string, agrees boolean")

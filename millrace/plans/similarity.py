@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.ml import recommend
+from millrace.operators.joins import lookup
 from millrace.operators.similarity import item_cosine, nearest_vectors, similar_items
 from millrace.plans import derived
 from millrace.plans.catalog import query
+from millrace.storage import materialize
 
 
 @query(
@@ -42,31 +44,74 @@ def _(t):
     return nearest_vectors(t.embeddings, "vec_id", "embedding", 0, k=10)
 
 
-def _als_input(t):
-    return derived.stored_ratings(t).select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), F.col("rating").cast("float"))
+def _als_rows(t):
+    """Ratings under dense ids, and the two dictionaries."""
+    r = derived.stored_ratings(t)
+    users, items = recommend.dense_ids(r, "user_id"), recommend.dense_ids(r, "item_id")
+    return materialize(recommend.with_dense_ids(r, users, items), "als_ratings"), users, items
 
 
-def _als(t, rows=None):
-    return recommend.als(rank=5, iterations=3, reg=0.1).fit(_als_input(t) if rows is None else rows)
+def _als(rows):
+    return recommend.als(rank=10, iterations=10, reg=0.1).fit(rows)
 
 
-@query("rec_als_fit_predict")
+@query(
+    "rec_als_fit_predict",
+    f"WITH {derived.RATINGS} SELECT count(*) AS n_rows, count(DISTINCT (user_id, item_id)) AS n_pairs, round(avg(rating), 6) AS mean_rating, true AS beats_mean, true AS all_scored FROM ratings",
+)
 def _(t):
-    rows = _als_input(t)
-    return _als(t, rows).transform(rows).select("user_id", "item_id", "rating", "prediction")
+    rows, _, _ = _als_rows(t)
+    scored = materialize(_als(rows).transform(rows), "scored")
+    return scored.join(F.broadcast(rows.agg(F.avg("rating").alias("mean"), F.count(F.lit(1)).alias("all")))).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id", "item_id").alias("n_pairs"), F.round(F.avg("rating"), 6).alias("mean_rating"),
+        (F.avg((F.col("rating") - F.col("prediction")) ** 2) < F.avg((F.col("rating") - F.col("mean")) ** 2)).alias("beats_mean"),
+        (F.count_if(F.isnan("prediction") | F.col("prediction").isNull()) == 0).alias("all_scored"),
+    )
+
+
+def _named(t, recs, users, items):
+    """Recommendations under the original ids."""
+    back = recs.join(users.withColumnsRenamed({"user_id": "user", "id": "_uid"}), F.col("user_id") == F.col("_uid"))
+    back = back.join(items.withColumnsRenamed({"item_id": "item", "id": "_iid"}), F.col("item_id") == F.col("_iid"))
+    return back.select(F.col("user").alias("user_id"), F.col("item").alias("item_id"), "rank", "score")
+
+
+def _recommended(t, by, only=None):
+    """``only``: users (or items) to recommend for, by their own ids in column ``only``."""
+    rows, users, items = _als_rows(t)
+    pairs = materialize(recommend.neighbour_candidates(rows), "candidates")
+    if only is not None:
+        chosen = (users if by == "user_id" else items).join(only, F.col(by) == F.col("only")).select(F.col("id").alias("_only"))
+        pairs = pairs.join(materialize(chosen, "chosen"), F.col(by) == F.col("_only"), "left_semi")
+    best = recommend.recommend_items(_als(rows), pairs, 10) if by == "user_id" else recommend.recommend_users(_als(rows), pairs, 10)
+    return _named(t, best, users, items)
 
 
 @query("rec_topk")
 def _(t):
-    return recommend.recommend_items(_als(t), 10, names=derived.item_names(t))
+    return lookup(_recommended(t, "user_id"), derived.item_names(t), "item_id", "id", ["name"])
 
 
 @query("rec_topk_users")
 def _(t):
-    return recommend.recommend_users(_als(t), 10)
+    return _recommended(t, "item_id")
+
+
+@query("rec_topk_user_subset")
+def _(t):
+    """For the customers of one market segment."""
+    return _recommended(t, "user_id", t.customer.filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("only")))
+
+
+@query("rec_topk_item_subset")
+def _(t):
+    """For the large parts."""
+    return _recommended(t, "item_id", t.part.filter("p_size > 40").select(F.col("p_partkey").alias("only")))
 
 
-@query("rec_factor_similarity")
+@query("rec_factor_similarity", f"WITH {derived.RATINGS} SELECT least(11, count(DISTINCT item_id)) AS n_items, true AS itself_first, true AS ordered FROM ratings")
 def _(t):
-    model = _als(t)
-    return recommend.similar_factors(model, model.itemFactors.agg(F.min("id")).first()[0], k=11)
+    rows, _, _ = _als_rows(t)
+    near = recommend.similar_factors(_als(rows), 0, k=11)
+    ranked = near.agg(F.count(F.lit(1)).alias("n_items"), F.max_by("id", "score").alias("first"), F.max("score").alias("top"), F.min("score").alias("low"))
+    return ranked.select("n_items", ((F.col("first") == 0) & (F.abs(F.col("top") - 1) < 1e-6)).alias("itself_first"), (F.col("low") <= F.col("top")).alias("ordered"))

@@ -145,12 +145,26 @@ def test_recommendations(spark):
     df = spark.createDataFrame(data, "user_id int, item_id int, rating float")
     model = recommend.als(rank=2, iterations=8, reg=0.05).fit(df)
     names = spark.createDataFrame([(i, f"i{i}") for i in range(12)], "id int, name string")
-    top = recommend.recommend_items(model, 4, names)
+    rated = {(u, i) for u, i, _ in data}
+    pairs = recommend.neighbour_candidates(df)
+    found = {tuple(r) for r in pairs.collect()}
+    assert found and not found & rated
+    everything = spark.createDataFrame([(u, i) for u in range(12) for i in range(12)], "user_id int, item_id int")
+    top = recommend.recommend_items(model, everything, 4, names)
     assert top.count() == 48
     assert top.filter("rank = 1 AND item_id % 2 != user_id % 2").count() == 0
-    some = recommend.recommend_items(model, 4, users=spark.createDataFrame([(3,)], "user_id int"))
-    assert {r["user_id"] for r in some.collect()} == {3}
-    assert recommend.recommend_users(model, 2).count() == 24
-    assert recommend.recommend_users(model, 2, items=spark.createDataFrame([(0,)], "item_id int")).count() == 2
+    scores = {(r.user_id, r.item_id): r.score for r in recommend.score_pairs(model, everything).collect()}
+    assert all(abs(scores[r.user_id, r.item_id] - r.prediction) < 1e-4 for r in model.transform(df).collect())
+    assert recommend.recommend_users(model, everything, 2).count() == 24
+    assert "CartesianProduct" not in recommend.recommend_items(model, pairs, 4)._jdf.queryExecution().executedPlan().toString()
     near = [r["id"] for r in recommend.similar_factors(model, 4, k=3).collect()]
     assert near[0] == 4 and all(i % 2 == 0 for i in near)
+
+
+def test_ids_of_any_type_become_dense(spark):
+    data = [("ann", 5_000_000_000, 3), ("bob", 7, 4), ("ann", 7, 5)]
+    df = spark.createDataFrame(data, "user_id string, item_id bigint, rating int")
+    users, items = recommend.dense_ids(df, "user_id"), recommend.dense_ids(df, "item_id")
+    assert rows(users) == [("ann", 0), ("bob", 1)]
+    assert rows(items) == [(7, 0), (5_000_000_000, 1)]
+    assert rows(recommend.with_dense_ids(df, users, items)) == [(0, 0, 5.0), (0, 1, 3.0), (1, 0, 4.0)]
