@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The field patterns of a common-log-format line. Both signs of the UTC offset are read.
-HOST = r"(^\S+\.\S{2,})\s"
+# The host is the first field of the line, with or without a dot, as the log format has it.
+HOST = r"^(\S+)\s"
+# The other field patterns of a common-log-format line. Both signs of the UTC offset are read.
 TIME = r"\[(\d{2}/\w{3}/\d{4}:\d{2}:\d{2}:\d{2} [+-]\d{4})\]"
 REQUEST = r'"(\S+)\s(\S+)\s*(\S*)"'
 STATUS = r"\s(\d{3})\s"

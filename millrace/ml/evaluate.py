@@ -28,7 +28,7 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
         F.round("mse", digits).alias("mse"),
         F.round(F.sqrt("mse"), digits).alias("rmse"),
         F.round("mae", digits).alias("mae"),
-        F.round(1 - F.try_divide(F.col("mse"), F.col("vy")), digits).alias("r2"),
+        F.round(1 - F.try_divide(F.col("mse"), F.col("vy")), max(digits, 6)).alias("r2"),
         F.round(F.col("vp") + gap * gap, digits).alias("explained_variance"),
     )
 

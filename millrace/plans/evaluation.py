@@ -20,7 +20,7 @@ rates AS (SELECT class, n, total, coalesce(tp / nullif(claimed, 0), 0) AS p, coa
 @query(
     "ev_regression",
     f"""WITH {derived.PREDICTED} SELECT round(avg((label - prediction) ** 2), 2) AS mse, round(sqrt(avg((label - prediction) ** 2)), 2) AS rmse,
-    round(avg(abs(label - prediction)), 2) AS mae, round(1 - avg((label - prediction) ** 2) / var_pop(label), 2) AS r2,
+    round(avg(abs(label - prediction)), 2) AS mae, round(1 - avg((label - prediction) ** 2) / var_pop(label), 6) AS r2,
     round(avg((prediction - (SELECT avg(label) FROM predicted)) ** 2), 2) AS explained_variance FROM predicted""",
 )
 def _(t):

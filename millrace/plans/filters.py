@@ -63,8 +63,10 @@ def _(t):
 
 @query(
     "flt_prefix",
-    "SELECT doc_id, token FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS token FROM documents) WHERE token LIKE '#%'",
+    """SELECT event_id, token FROM (SELECT event_id, unnest(['saw', '#' || event_type, 'by', '#user' || (user_id % 10), 'again']) AS token FROM events)
+    WHERE token LIKE '#%'""",
 )
 def _(t):
-    words = t.documents.select("doc_id", F.explode(tokens(F.col("text"))).alias("token"))
+    post = F.concat_ws(" ", F.lit("saw"), F.concat(F.lit("#"), "event_type"), F.lit("by"), F.concat(F.lit("#user"), (F.col("user_id") % 10).cast("string")), F.lit("again"))
+    words = t.events.select("event_id", F.explode(tokens(post)).alias("token"))
     return words.filter(F.col("token").startswith("#"))

@@ -10,6 +10,7 @@ from millrace.operators.joins import lookup
 from millrace.operators.sets import except_rows
 from millrace.plans import derived
 from millrace.plans.catalog import query
+from millrace.storage import materialize
 
 R = ["user_id", "item_id", "rating", "ts"]
 
@@ -96,7 +97,7 @@ def _(t):
 )
 def _(t):
     cols = ["user_id", "item_id", "rating"]
-    raw = derived.raw_ratings(t)
+    raw = materialize(derived.raw_ratings(t), "raw_ratings")
     return except_rows(raw.select(*cols), derived.newest(raw).select(*cols))
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -63,10 +61,12 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._loaded: dict[str, DataFrame] = {}
 
-    @functools.cache
     def _load(self, name: str) -> DataFrame:
-        return load(self.spark, self.sf_dir, name)
+        if name not in self._loaded:
+            self._loaded[name] = load(self.spark, self.sf_dir, name)
+        return self._loaded[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:

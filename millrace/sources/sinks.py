@@ -23,10 +23,10 @@ def write_lines(df: DataFrame, path: str, columns: Sequence[str], sep: str = ";"
     """Rows as formatted text lines.
 
     ``single=True`` asks for one file and is for reports whose row count does not grow with the
-    input; without it every task writes its own file.
+    input; what makes the rows still runs in many tasks. Without it every task writes its own file.
     """
     line = df.select(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]).alias("value"))
-    (line.coalesce(1) if single else line).write.mode("overwrite").text(path)
+    (line.repartition(1) if single else line).write.mode("overwrite").text(path)
     return path
 
 
