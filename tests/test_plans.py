@@ -47,3 +47,47 @@ def test_unused_columns_are_not_read(spark):
     df = QUERIES["agg_value_distribution"](spark, SF)
     text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string,o_orderpriority:string>" in text
+
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.shuffle.partitions": "16",
+    "spark.sql.files.maxPartitionBytes": "256k",
+    "spark.sql.files.openCostInBytes": "0",
+}
+
+
+@pytest.fixture
+def skewed_settings(spark):
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["item_mean_predictions", "exclude", "drop_suspicious"])
+def test_a_key_with_half_of_the_rows_is_split(spark, skewed_settings, name):
+    from pyspark.sql import functions as F
+
+    from millrace.ml.recommend import item_mean_predictions
+    from millrace.operators.cleaning import drop_suspicious
+    from millrace.operators.joins import exclude
+    from millrace.storage import materialize
+
+    hot = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 1000)
+    rows = materialize(spark.range(400_000).select(hot.alias("user_id"), hot.alias("item_id"), (F.col("id") % 5).alias("rating"), F.xxhash64("id").alias("ts")), "hot")
+    df = {
+        "item_mean_predictions": lambda: item_mean_predictions(rows),
+        "exclude": lambda: exclude(rows, rows.filter("user_id > 500"), "user_id"),
+        "drop_suspicious": lambda: drop_suspicious(rows, min_rows=500, max_stddev=0.0, max_share=10.0),
+    }[name]()
+    whole = df.agg(F.max(F.xxhash64(*df.columns)))
+    whole.collect()
+    text = whole._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in text, text
