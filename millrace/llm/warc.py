@@ -168,8 +168,10 @@ def read_frames(stream, piece: int = 1 << 18) -> Iterator[bytes]:
 
 def train_dictionary(pages: DataFrame, id_col: str, html_col: str) -> bytes | None:
     """A dictionary from at most ``TRAIN_PAGES`` pages in hash order and ``TRAIN_BYTES`` of text."""
-    order = [F.xxhash64(id_col), F.col(id_col)]
-    rows = pages.filter(F.octet_length(html_col).between(1, TRAIN_BYTES // 100)).select(id_col, html_col).orderBy(*order).limit(TRAIN_PAGES).collect()
+    fit = pages.filter(F.octet_length(html_col).between(1, TRAIN_BYTES // 100) & F.col(id_col).isNotNull())
+    # Ids first: a task sends its first ids to the driver, not its first pages.
+    chosen = fit.select(F.col(id_col).alias("_chosen")).distinct().orderBy(F.xxhash64("_chosen"), "_chosen").limit(TRAIN_PAGES)
+    rows = fit.join(F.broadcast(chosen), F.col(id_col) == F.col("_chosen")).select(id_col, html_col).limit(TRAIN_PAGES).collect()
     samples, left = [], TRAIN_BYTES
     for r in rows:
         text = r[html_col].encode()
