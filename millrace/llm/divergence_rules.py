@@ -194,7 +194,7 @@ def _judge(batches: Iterator[pa.RecordBatch], refs: dict, limits: dict) -> Itera
             found[k] = batch.column(k).flatten().to_numpy().reshape(batch.num_rows, n)
         result = verdicts(found, refs, limits)
         rest = [c for c in batch.schema.names if c not in ("_classes", "_words")]
-        columns = [batch.column(c) for c in rest] + [pa.array(v) for v in result.values()]
+        columns = [batch.column(c) for c in rest] + [pa.array(v, from_pandas=True) for v in result.values()]
         yield pa.RecordBatch.from_arrays(columns, names=[*rest, *result])
 
 
