@@ -300,7 +300,9 @@ def top_products(
     work = partial(_search, k=k)
     pairs = ["data_path", "query_path"]
     at_home = with_home.select(F.col("home").alias("data_path"), "query_path", F.lit(None).cast("long").alias("worst"))
-    near = materialize(at_home.repartition(*pairs).sortWithinPartitions(*pairs).mapInArrow(work, _FOUND), "near_scores")
+    # Numbers of their own: Spark would merge these few bytes into few tasks, but each row is a search.
+    blocks = max(1, data.count())
+    near = materialize(at_home.repartition(blocks, *pairs).sortWithinPartitions(*pairs).mapInArrow(work, _FOUND), "near_scores")
     full = near.groupBy("query_path", "query_id").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n"))
     counted = full.groupBy(F.col("query_path").alias("w_path")).agg(F.min(F.when(F.col("n") >= k, F.col("kth")).otherwise(F.lit(-(1 << 62)))).alias("low"), F.count(F.lit(1)).alias("w_n"))
     # A query without a single row at home has no k-th score yet, and neither has its group.
@@ -310,7 +312,7 @@ def top_products(
     bounded = with_home.join(counted, F.col("query_path") == F.col("w_path"), "left").withColumn("worst", F.coalesce(low, F.lit(-(1 << 62))))
 
     # Pairs of blocks meet by a shard number, so that descriptions of blocks are dealt over tasks.
-    shards = max(1, data.count() // 64)
+    shards = max(1, blocks // 64)
     q_dealt = bounded.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     x_dealt = x.withColumn("x_shard", F.pmod(F.xxhash64("data_path"), F.lit(shards)).cast("int"))
 
@@ -321,7 +323,7 @@ def top_products(
     most = dot + norm("q_centre") * F.col("x_radius") + norm("x_centre") * F.col("q_radius") + F.col("q_radius") * F.col("x_radius")
     met = q_dealt.join(x_dealt, (F.col("shard") == F.col("x_shard")) & (F.col("dim") == F.col("x_dim")))
     rest = met.filter((F.col("data_path") != F.col("home")) & (most + F.abs(most) * 1e-9 + 1e-6 >= F.col("worst"))).select("data_path", "query_path", "worst")
-    far = rest.repartition(*pairs).sortWithinPartitions(*pairs).mapInArrow(work, _FOUND)
+    far = rest.repartition(blocks, *pairs).sortWithinPartitions(*pairs).mapInArrow(work, _FOUND)
     found = near.unionByName(far).select("query_id", "vec_id", "score")
     best = top_per_key(found, ["query_id"], [F.col("score").desc(), F.col("vec_id")], k, "rank")
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

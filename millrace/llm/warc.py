@@ -258,4 +258,6 @@ def read_archives(spark: SparkSession, paths: DataFrame, with_payload: bool = Tr
     """Records of the archives named in column ``path``; a file is read by one task, as a stream."""
     ship(spark)
     kinds = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + (", payload binary" if with_payload else "")
-    return paths.select("path").repartition("path").mapInArrow(partial(_read, with_payload=with_payload), kinds)
+    # A number of its own: Spark would merge these few bytes into one task, but each row is a file to read.
+    spread = paths.select("path").repartition(max(1, paths.count()))
+    return spread.mapInArrow(partial(_read, with_payload=with_payload), kinds)
