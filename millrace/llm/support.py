@@ -13,12 +13,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
+ARROW_BYTES = 4 << 20
+BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application, whatever their working folder is."""
+    """Make the session ready for tasks of this package.
+
+    Executors get the package, once per application, whatever their working folder is. Batches
+    between Spark and Python are bounded in bytes, as rows may hold very long texts; a bound that the
+    cluster's own configuration gives stays.
+    """
+    if not spark.sparkContext.getConf().contains(BATCH_KEY):
+        spark.conf.set(BATCH_KEY, ARROW_BYTES)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
