@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.support import extended, kept_columns, set_aside, ship, small_batches
-from millrace.llm.token_ids import encode
+from millrace.llm.token_ids import MOST_CACHED, encode
 from millrace.operators.ranking import with_position
 from millrace.storage import materialize
 
@@ -33,10 +33,10 @@ PIECE_COLUMNS = "piece int, start long, length long, ids_crc32 long"
 RESULTS = ("piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset")
 
 
-def _cut(batches: Iterator[pa.RecordBatch], path: str, text_col: str, keep: list[str], most: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], path: str, text_col: str, keep: list[str], most: int, with_ids: bool, most_cached: int = MOST_CACHED) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in small_batches(whole, text_col):
-            ids, at = encode(batch.column(text_col), path, spaces_matter=False)
+            ids, at = encode(batch.column(text_col), path, spaces_matter=False, most_cached=most_cached)
             counts = -(-np.diff(at) // most)
             doc = np.repeat(np.arange(batch.num_rows), counts)
             piece = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -54,13 +54,13 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, text_col: str, keep: list
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def cut_pieces(df: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None, most: int = SEQUENCE, with_ids: bool = True) -> DataFrame:
-    """Pieces of at most ``most`` tokens of every text, with their ids if asked for."""
+def cut_pieces(df: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None, most: int = SEQUENCE, with_ids: bool = True, most_cached: int = MOST_CACHED) -> DataFrame:
+    """Pieces of at most ``most`` tokens of every text, with their ids if asked for; ``most_cached`` words are kept per task."""
     ship(df.sparkSession)
     keep = kept_columns(df, keep, RESULTS)
     schema = extended(df.select(*[f"`{c}`" for c in keep]).schema, PIECE_COLUMNS + (", ids array<int>" if with_ids else ""))
     needed = df.select(*[f"`{c}`" for c in dict.fromkeys([*keep, text_col])])
-    return needed.mapInArrow(partial(_cut, path=path, text_col=text_col, keep=keep, most=most, with_ids=with_ids), schema)
+    return needed.mapInArrow(partial(_cut, path=path, text_col=text_col, keep=keep, most=most, with_ids=with_ids, most_cached=most_cached), schema)
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:

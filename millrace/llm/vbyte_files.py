@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.shared_files import make_folder, new_file, open_file, read_exactly
 from millrace.llm.support import doc_key, ship, small_batches
-from millrace.llm.token_ids import encode
+from millrace.llm.token_ids import count_ids, encode
 from millrace.storage import materialize
 
 MAGIC, VERSION = b"FRVB", 1
@@ -69,7 +69,8 @@ def _count(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterato
     totals = np.zeros(0, np.int64)
     for whole in batches:
         for batch in small_batches(whole, "_text"):
-            counts = np.bincount(encode(batch.column("_text"), path, True, end_id)[0], minlength=len(totals))
+            counts = count_ids(batch.column("_text"), path, True, end_id)
+            counts = np.pad(counts, (0, max(0, len(totals) - len(counts))))
             counts[: len(totals)] += totals
             totals = counts
     some = np.flatnonzero(totals)
