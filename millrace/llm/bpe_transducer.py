@@ -29,9 +29,10 @@ import regex
 from pyspark.sql import DataFrame
 
 from millrace.llm.support import extended, kept_columns, ship, small_batches
-from millrace.llm.token_ids import encode_by_word
+from millrace.llm.token_ids import WordCache, as_bytes, encode_by_word
 
-MOST_STATES = 200_000
+MOST_STATES = 400_000
+MOST_WORDS = 300_000
 MOST_PAIRS = 400_000
 _loaded: dict[tuple[str, str], Codec] = {}
 
@@ -244,14 +245,23 @@ class Codec:
         self.transducer = Transducer(self.ranks)
         self.decoder = StreamDecoder(self.transducer.token)
         self.pattern = regex.compile(pattern)
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known = WordCache(MOST_WORDS)
+        self.pieces: dict[str, list[int]] = {}
 
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         return self.transducer.encode(piece) if whole is None else [whole]
 
-    def encode_text(self, text: bytes) -> np.ndarray:
-        return np.array([r for piece in self.pattern.findall(text.decode()) for r in self.encode_piece(piece.encode())], np.uint32)
+    def encode_text(self, text: bytes) -> bytes:
+        out, known = [], self.pieces
+        for piece in self.pattern.findall(text.decode()):
+            ids = known.get(piece)
+            if ids is None:
+                if len(known) > MOST_WORDS:
+                    known.clear()
+                ids = known[piece] = self.encode_piece(piece.encode())
+            out += ids
+        return as_bytes(out)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return encode_by_word(texts, lambda batch: [self.encode_text(t) for t in batch], self.known, True, None)
