@@ -45,7 +45,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents in sequences of at most 2048."""
-    pieces = slack_packing.cut_pieces(docs, public_tokenizers.path(TOKENIZER), keep=["doc_id"])
+    pieces = slack_packing.cut_pieces(docs, public_tokenizers.path(TOKENIZER), keep=["doc_id"], most_cached=60_000)
     return slack_packing.pack(pieces)
 
 
