@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import lookup
@@ -11,6 +13,7 @@ from millrace.operators.ranking import top_per_key, with_position
 from millrace.operators.similarity import item_cosine, nearest_vectors
 from millrace.storage import materialize
 
+BLOCK = 4096
 
 def als(rank: int = 10, iterations: int = 10, reg: float = 0.01, nonnegative: bool = False, seed: int = 1) -> ALS:
     """Explicit-rating ALS that drops pairs it cannot score."""
@@ -75,6 +78,100 @@ def recommend_users(model: ALSModel, pairs: DataFrame, k: int) -> DataFrame:
     return top_per_key(score_pairs(model, pairs), ["item_id"], [F.desc("score"), F.col("user_id")], k)
 
 
+def _by_blocks(rows: DataFrame, order: list[Column], block: int) -> DataFrame:
+    """``rows(id, features, norm, floor)`` in blocks of ``block`` neighbours under ``order``, a row per block."""
+    placed = with_position(rows, order, "_at").withColumn("_block", F.floor(F.col("_at") / block))
+    least = F.min(F.when(F.col("floor") > 0, F.col("floor") / F.col("norm")).otherwise(0.0))
+    packed = placed.groupBy("_block").agg(F.max("norm").alias("_reach"), least.alias("_need"), F.collect_list(F.struct("id", "features", "floor")).alias("_rows"))
+    held = F.col("_rows")
+    return packed.select("_block", "_reach", "_need", held["id"].alias("_ids"), F.flatten(held["features"]).alias("_vectors"), held["floor"].alias("_floors"))
+
+
+def _search(k: int) -> Callable:
+    """Best ``k`` rows of a data block for each row of a query block, none below that row's floor."""
+
+    # A closure, so that workers get it by value and need no package.
+    def search(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, vectors, floors, others, theirs = (batch.column(c)[i].values.to_numpy() for c in ("_ids", "_vectors", "_floors", "_others", "_theirs"))
+                own, columns = vectors.reshape(len(ids), -1), theirs.reshape(len(others), -1).T.copy()
+                for at in range(0, len(ids), 256):
+                    part, least = own[at : at + 256], floors[at : at + 256]
+                    # Added up one factor after another, so that a score does not depend on the blocks.
+                    scores = np.zeros((len(part), len(others)))
+                    for f in range(part.shape[1]):
+                        scores += part[:, f, None] * columns[f]
+                    if len(others) > k:
+                        least = np.maximum(least, np.partition(scores, -k, axis=1)[:, -k])
+                    row, col = np.nonzero(scores >= least[:, None])
+                    order = np.lexsort((others[col], -scores[row, col], row))
+                    row, col = row[order], col[order]
+                    first = np.arange(len(row)) - np.searchsorted(row, row) < k
+                    row, col = row[first], col[first]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[at + row], pa.int32()), pa.array(others[col], pa.int32()), pa.array(scores[row, col], pa.float64())], names=["id", "other", "score"]
+                    )
+
+    return search
+
+
+def best_products(queries: DataFrame, data: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
+    """(id, other, rank, score): for each vector of ``queries(id, features)`` the ``k`` of all of ``data`` with the largest inner product.
+
+    Exact; among equals the smaller id first. Data vectors stand in blocks by falling norm. The first block gives every query
+    a floor, its ``k``-th score there; a later block is only searched for query blocks that hold a
+    query with |query| * (largest norm in the block) not below its floor. Queries are put into
+    blocks by that need. Vectors of nearly equal norm leave little to skip.
+    """
+    spark = queries.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    doubles = F.col("features").cast("array<double>")
+    norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, v: s + v * v))
+    nothing = F.lit(float("-inf"))
+
+    def prepared(df: DataFrame) -> DataFrame:
+        return df.select("id", doubles.alias("features")).withColumn("norm", norm).withColumn("floor", nothing)
+
+    wanted = materialize(prepared(queries), "query_vectors")
+    blocks = materialize(_by_blocks(prepared(data), [F.desc("norm"), F.col("id")], block), "data_blocks")
+    theirs = blocks.select(F.col("_block").alias("_other"), F.col("_ids").alias("_others"), F.col("_vectors").alias("_theirs"))
+    columns, out = ["_ids", "_vectors", "_floors", "_others", "_theirs"], "id int, other int, score double"
+
+    start = _by_blocks(wanted, [F.col("id")], block).repartition(parts, "_block").crossJoin(F.broadcast(theirs.filter("_other = 0")))
+    found = materialize(start.select(*columns).mapInArrow(_search(k), out), "first_block")
+
+    floors = found.groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(nothing).alias("_floor"))
+    floored = wanted.join(floors, "id").select("id", "features", "norm", F.col("_floor").alias("floor"))
+    need = F.when(F.col("floor") > 0, F.col("floor") / F.col("norm")).otherwise(0.0)
+    asked = materialize(_by_blocks(floored, [need, F.col("id")], block), "query_blocks")
+    # One number per block on both sides; the margin is far above the rounding of norms and scores.
+    reach = F.broadcast(blocks.filter("_block > 0").select(F.col("_block").alias("_other"), "_reach"))
+    pairs = materialize(asked.select("_block", "_need").join(reach, F.col("_reach") * (1 + 1e-9) >= F.col("_need")).select("_block", "_other"), "block_pairs")
+    met = pairs.join(theirs, "_other").join(asked.select("_block", "_ids", "_vectors", "_floors"), "_block").repartition(parts, "_block", "_other")
+    rest = materialize(met.select(*columns).mapInArrow(_search(k), out), "later_blocks")
+    return top_per_key(found.unionByName(rest), ["id"], [F.desc("score"), F.col("other")], k)
+
+
+def _of(factors: DataFrame, only: DataFrame | None) -> DataFrame:
+    return factors if only is None else factors.join(only.select("id"), "id", "left_semi")
+
+
+def top_items(model: ALSModel, k: int, only: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+    """Top ``k`` of all items for every user, or for those in ``only(id)``: (user_id, item_id, rank, score)."""
+    best = best_products(_of(model.userFactors, only), model.itemFactors, k, block)
+    return best.select(F.col("id").alias("user_id"), F.col("other").alias("item_id"), "rank", "score")
+
+
+def top_users(model: ALSModel, k: int, only: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+    """Top ``k`` of all users for every item, or for those in ``only(id)``: (item_id, user_id, rank, score)."""
+    best = best_products(_of(model.itemFactors, only), model.userFactors, k, block)
+    return best.select(F.col("id").alias("item_id"), F.col("other").alias("user_id"), "rank", "score")
+
+
 def similar_factors(model: ALSModel, item: int, k: int = 10) -> DataFrame:
     """Items whose latent factors have the highest cosine with one item's (itself first)."""
     return nearest_vectors(model.itemFactors, "id", "features", item, k)

@@ -79,11 +79,10 @@ def _named(t, recs, users, items):
 def _recommended(t, by, only=None):
     """``only``: users (or items) to recommend for, by their own ids in column ``only``."""
     rows, users, items = _als_rows(t)
-    pairs = materialize(recommend.neighbour_candidates(rows), "candidates")
+    chosen = None
     if only is not None:
-        chosen = (users if by == "user_id" else items).join(only, F.col(by) == F.col("only")).select(F.col("id").alias("_only"))
-        pairs = pairs.join(materialize(chosen, "chosen"), F.col(by) == F.col("_only"), "left_semi")
-    best = recommend.recommend_items(_als(rows), pairs, 10) if by == "user_id" else recommend.recommend_users(_als(rows), pairs, 10)
+        chosen = materialize((users if by == "user_id" else items).join(only, F.col(by) == F.col("only")).select("id"), "chosen")
+    best = recommend.top_items(_als(rows), 10, chosen) if by == "user_id" else recommend.top_users(_als(rows), 10, chosen)
     return _named(t, best, users, items)
 
 

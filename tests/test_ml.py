@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator,
@@ -8,11 +10,12 @@ from pyspark.ml.evaluation import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import SF, rows
 from millrace.ml import evaluate, features, recommend, selection
 from millrace.ml.estimators import ESTIMATORS, estimator
 from millrace.ml.preparation import Preparation
-from millrace.plans import derived
+from millrace.plans import derived, similarity
+from millrace.plans.catalog import all_queries
 from millrace.storage import scratch_path
 
 
@@ -168,3 +171,46 @@ def test_ids_of_any_type_become_dense(spark):
     assert rows(users) == [("ann", 0), ("bob", 1)]
     assert rows(items) == [(7, 0), (5_000_000_000, 1)]
     assert rows(recommend.with_dense_ids(df, users, items)) == [(0, 0, 5.0), (0, 1, 3.0), (1, 0, 4.0)]
+
+
+def best_by_hand(queries, data, k):
+    out = set()
+    for q, u in queries.items():
+        scores = {}
+        for d, v in data.items():
+            scores[d] = 0.0
+            for x, y in zip(u, v):
+                scores[d] += x * y
+        for rank, d in enumerate(sorted(scores, key=lambda d: (-scores[d], d))[:k], 1):
+            out.add((q, d, rank, scores[d]))
+    return out
+
+
+@pytest.mark.parametrize("block", [3, 7, 64, 4096])
+def test_best_products_match_brute_force(spark, block):
+    rng = random.Random(3)
+    vectors = [[i, [round(rng.gauss(0, 1) * 2 ** rng.randint(-3, 3), 2) for _ in range(4)]] for i in range(150)]
+    vectors += [[150 + i, vectors[i % 3][1]] for i in range(9)] + [[160, [0.0] * 4]]
+    queries = dict(vectors[:20]) | {200: [0.0] * 4, 201: [-v for v in vectors[0][1]]}
+    ask = spark.createDataFrame(list(queries.items()), "id int, features array<double>")
+    data = spark.createDataFrame(vectors, "id int, features array<double>")
+    got = {tuple(r) for r in recommend.best_products(ask, data, 5, block).select("id", "other", "rank", "score").collect()}
+    assert got == best_by_hand(queries, dict(vectors), 5)
+
+
+@pytest.mark.parametrize("key", ["rec_topk", "rec_topk_users", "rec_topk_user_subset", "rec_topk_item_subset"])
+def test_registered_recommendations_rank_everything(spark, tables, monkeypatch, key):
+    fit, models = similarity._als, []
+    monkeypatch.setattr(similarity, "_als", lambda rows: models.append(fit(rows)) or models[0])
+    got = {(r.user_id, r.item_id, r["rank"], r.score) for r in all_queries()[key](spark, SF).collect()}
+    known = derived.ratings(tables).select("user_id", "item_id").collect()
+    users, items = sorted({r.user_id for r in known}), sorted({r.item_id for r in known})
+    u = {users[r.id]: list(r.features) for r in models[0].userFactors.collect()}
+    i = {items[r.id]: list(r.features) for r in models[0].itemFactors.collect()}
+    if key in ("rec_topk", "rec_topk_user_subset"):
+        chosen = {r[0] for r in tables.customer.filter("c_mktsegment = 'BUILDING'").select("c_custkey").collect()} if "subset" in key else set(u)
+        want = best_by_hand({x: v for x, v in u.items() if x in chosen}, i, 10)
+    else:
+        chosen = {r[0] for r in tables.part.filter("p_size > 40").select("p_partkey").collect()} if "subset" in key else set(i)
+        want = {(b, a, rank, score) for a, b, rank, score in best_by_hand({x: v for x, v in i.items() if x in chosen}, u, 10)}
+    assert got == want and got
