@@ -54,23 +54,27 @@ ratings AS (
 # --- ranked lists: each user's items by the item's mean rating; liked items are the truth ----
 
 
-def lists(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """(ranked, liked): ten best own items per user by mean rating, and the items rated 4 or 5."""
+def lists(t: Tables, depth: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(ranked, liked): the ``depth`` best own items per user by mean rating, and the items rated 4 or 5."""
     r = stored_ratings(t)
     means = materialize(r.groupBy("item_id").agg(F.round(F.avg("rating"), 6).alias("score")), "means")
-    ranked = ranked_predictions(r.join(means, "item_id"), "score", 10)
+    ranked = ranked_predictions(r.join(means, "item_id"), "score", depth)
     return ranked, r.filter("rating >= 4").select("user_id", "item_id")
 
 
-RANKED = (
-    RATINGS
-    + """,
+def ranked_sql(depth: int) -> str:
+    return (
+        RATINGS
+        + f""",
 scored AS (SELECT user_id, item_id, rating, round(avg(rating) OVER (PARTITION BY item_id), 6) AS score FROM ratings),
 ranked AS (SELECT * FROM (
   SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM scored)
-  WHERE rank <= 10),
+  WHERE rank <= {depth}),
 liked AS (SELECT user_id, item_id FROM ratings WHERE rating >= 4)"""
-)
+    )
+
+
+RANKED = ranked_sql(10)
 
 # --- readings: event values as tenths of a degree ---------------------------------------------
 

@@ -82,13 +82,11 @@ def _(t):
     return evaluate.curve_areas(evaluate.score_curve(derived.scored_lines(t)))
 
 
-_AP = (
-    derived.RANKED
-    + """,
+_HITS = """,
 hit AS (SELECT r.user_id, rank, CASE WHEN l.item_id IS NULL THEN 0 ELSE 1 END AS h FROM ranked r LEFT JOIN liked l USING (user_id, item_id)),
 sized AS (SELECT user_id, count(*) AS n_actual FROM liked GROUP BY user_id),
 cum AS (SELECT *, sum(h) OVER (PARTITION BY user_id ORDER BY rank) AS c FROM hit)"""
-)
+_AP = derived.RANKED + _HITS
 
 
 def _ap_users(k: int) -> str:
@@ -113,3 +111,19 @@ def _(t):
 )
 def _(t):
     return evaluate.map_at_k(*derived.lists(t), [3, 10, 500])
+
+
+_DEEP = (10, 500, 2000)
+
+
+@query(
+    "ev_map_at_k_deep",
+    f"WITH {derived.ranked_sql(max(_DEEP))}{_HITS} "
+    + " UNION ALL ".join(
+        f"SELECT {k} AS k, count(*) AS users, round(sum(CASE WHEN n_actual > 0 THEN ap ELSE 0 END) / count(*), 6) AS map FROM ({_ap_users(k)})"
+        for k in _DEEP
+    ),
+)
+def _(t):
+    """Lists as deep as the largest k; ``ev_map_at_k`` ranks ten items for every k, as its SQL does."""
+    return evaluate.map_at_k(*derived.lists(t, max(_DEEP)), _DEEP)

@@ -214,3 +214,26 @@ def test_registered_recommendations_rank_everything(spark, tables, monkeypatch,
         chosen = {r[0] for r in tables.part.filter("p_size > 40").select("p_partkey").collect()} if "subset" in key else set(i)
         want = {(b, a, rank, score) for a, b, rank, score in best_by_hand({x: v for x, v in i.items() if x in chosen}, u, 10)}
     assert got == want and got
+
+
+def test_map_counts_hits_below_the_tenth_place(spark, tables):
+    """Against lists made by hand: all of a user's own items are ranked, not the first ten."""
+    own, of_item = {}, {}
+    for r in derived.ratings(tables).collect():
+        own.setdefault(r.user_id, {})[r.item_id] = r.rating
+        of_item.setdefault(r.item_id, []).append(r.rating)
+    mean = {i: round(sum(v) / len(v), 6) for i, v in of_item.items()}
+    assert max(len(v) for v in own.values()) > 20
+    want = {}
+    for k in (10, 500, 2000):
+        total = 0.0
+        for rated in own.values():
+            hits, score, n_liked = 0, 0.0, sum(r >= 4 for r in rated.values())
+            for rank, i in enumerate(sorted(rated, key=lambda i: (-mean[i], i))[:k], 1):
+                if rated[i] >= 4:
+                    hits += 1
+                    score += hits / rank
+            total += score / min(n_liked, k) if n_liked else 0.0
+        want[k] = (len(own), pytest.approx(total / len(own), abs=2e-6))
+    got = {r["k"]: (r["users"], r["map"]) for r in all_queries()["ev_map_at_k_deep"](spark, SF).collect()}
+    assert got == want
