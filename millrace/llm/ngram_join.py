@@ -129,10 +129,10 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(identity, pa.binary()), lists], names=["_t", "_set"])
 
 
-def count_links(sets: list[np.ndarray], bands: np.ndarray, side: np.ndarray, first_band: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def count_links(sets: list[np.ndarray], bands: np.ndarray, side: np.ndarray, across: bool, first_band: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Links of each text within one unit, and a text each is joined to (itself if to none before).
 
-    ``side``: with two values, only pairs across count. ``first_band`` at least 0: only pairs whose first
+    ``across``: only pairs of different ``side`` count. ``first_band`` at least 0: only pairs whose first
     common band it is. Candidates are verified on the sets; no list of pairs is made.
     """
     m = len(sets)
@@ -148,7 +148,6 @@ def count_links(sets: list[np.ndarray], bands: np.ndarray, side: np.ndarray, fir
             v = root[v]
         return v
 
-    across = len(set(side.tolist())) > 1
     for a in range(m - 1):
         equal = bands[a + 1 :] == bands[a]
         if first_band >= 0:
@@ -183,10 +182,12 @@ def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
     unit, held = None, []
 
     def done() -> pa.RecordBatch | None:
-        if len(held) < 2:
+        side, across = np.array([h[1] for h in held]), bool(held) and unit[2] != unit[3]
+        # A unit of two blocks of which one is empty has nothing to count: pairs within a block have a unit of their own.
+        if len(held) < 2 or across and (side == side[0]).all():
             return None
         sets = [h[2] for h in held]
-        links, root = count_links(sets, np.stack([h[3] for h in held]), np.array([h[1] for h in held]), unit[1], threshold)
+        links, root = count_links(sets, np.stack([h[3] for h in held]), side, across, unit[1], threshold)
         some = np.flatnonzero(links)
         names = [h[0] for h in held]
         return pa.RecordBatch.from_arrays(

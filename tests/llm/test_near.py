@@ -71,3 +71,14 @@ def test_bands_reach_the_recall():
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9995
     with pytest.raises(ValueError):
         choose_bands(0.1, 0.9999, 10)
+
+
+def test_links_count_once_where_blocks_are_empty(spark):
+    rng = random.Random(9)
+    docs = []
+    for _ in range(30):
+        base = [f"w{rng.randint(0, 10**6)}" for _ in range(60)]
+        docs += [(len(docs) + k, " ".join([*base, f"end{k}"])) for k in range(rng.choice([2, 3]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in similar_texts(df, unit_grams=30).collect()}
+    assert got == by_hand(docs)
