@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from millrace.llm.components import components
 from millrace.llm.support import doc_key, set_aside, ship, small_batches
 from millrace.llm.textcodes import chunks, words
+from millrace.operators.ranking import top_per_key
 from millrace.storage import materialize
 
 N_WORDS = 5
@@ -287,7 +288,7 @@ def _classified(
     return out.select(
         "_id", "_k1", "_k2", F.when(alone, F.col("_id")).otherwise(F.col("_class")).alias("class_id"),
         F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("_copies", F.lit(1)).cast("long").alias("n_copies"),
-        (alone | (F.col("_stands") & F.col("_class").eqNullSafe(F.col("_id")))).alias("_stays"),
+        (alone | (F.col("_stands") & F.col("_class").eqNullSafe(F.col("_id")))).alias("_stays"), "_t",
     )
 
 
@@ -297,10 +298,27 @@ def similar_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
-    """``df`` with one document of each class, that with the least id (then text); rows equal in both are one document."""
-    rest = set_aside(df, "_k1", "_k2", "_g1", "_g2")
-    found = _classified(rest, id_col, text_col, **options)
-    gone = materialize(found.filter("not _stays").select(F.col("_k1").alias("_g1"), F.col("_k2").alias("_g2")).distinct(), "duplicates")
+    """``df`` with one document of each class, that with the least id (then text).
+
+    Rows that have an id and are equal in id and text are one document, and all stay; of rows without an
+    id each is a document, so one stays if none in the class has an id. Blank texts are classes of their own.
+    """
+    rest = set_aside(df, "_k1", "_k2", "_g1", "_g2", "_nth")
+    found = materialize(_classified(rest, id_col, text_col, **options), "classified")
+    key = F.struct("_k1", "_k2")
+    # Texts with equal words can differ as strings; one string of them stands for the class.
+    stay = found.filter("_stays and _t is not null").select("_t", key.alias("_key"))
+    several = stay.groupBy("_t").agg(F.min("_key").alias("_one"), F.max("_key").alias("_last")).filter("_one != _last")
+    several = materialize(several.select(F.col("_t").alias("_w"), "_one"), "several_strings")
+    later = stay.join(several, F.col("_t") == F.col("_w")).filter("_key != _one").select("_key._k1", "_key._k2")
+    gone = found.filter("not _stays").select("_k1", "_k2").unionByName(later)
+    gone = materialize(gone.select(F.col("_k1").alias("_g1"), F.col("_k2").alias("_g2")).distinct(), "duplicates")
     k1, k2 = doc_key(id_col, text_col)
-    keyed = rest.withColumns({"_k1": k1, "_k2": k2})
-    return keyed.join(gone, (F.col("_k1") == F.col("_g1")) & (F.col("_k2") == F.col("_g2")), "left_anti").drop("_k1", "_k2")
+
+    def left(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({"_k1": k1, "_k2": k2}).join(gone, (F.col("_k1") == F.col("_g1")) & (F.col("_k2") == F.col("_g2")), "left_anti")
+
+    nameless = F.col(f"`{id_col}`").isNull() & F.coalesce(F.col(f"`{text_col}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    others = [F.col(f"`{c}`") for c in rest.columns if c != text_col]
+    once = top_per_key(left(rest.filter(nameless)), ["_k1", "_k2"], [F.to_json(F.struct(*others))], 1, "_nth").drop("_nth")
+    return left(rest.filter(~nameless)).unionByName(once).drop("_k1", "_k2")
