@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -99,3 +100,15 @@ def doc_key(id_col: str, text_col: str) -> tuple[Column, Column]:
     text = F.coalesce(F.col(text_col), F.lit(""))
     name = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     return F.xxhash64(F.lit(1), name, text), F.xxhash64(F.lit(2), F.crc32(F.encode(text, "utf-8")), name, text)
+
+
+def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
+    """``df.mapInArrow``, also for columns whose names hold dots, which it does not find."""
+    if not any("." in c for c in df.columns):
+        return df.mapInArrow(work, schema)
+    plain = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(partial(_with_names, names=df.columns, work=work), schema)
+
+
+def _with_names(batches: Iterator[pa.RecordBatch], names: list[str], work: Callable) -> Iterator[pa.RecordBatch]:
+    return work(batch.rename_columns(names) for batch in batches)
