@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.session import Tables
 
-_MODULES = ("classify", "near", "packing", "vbyte", "warc", "rules", "quotes", "search", "transducer", "lines", "middle", "phrases")
+_MODULES = ("classify", "near", "packing", "vbyte", "warc", "rules", "quotes", "search", "transducer", "lines", "middle", "phrases", "scoring")
 
 _registry: dict[str, Callable[[Tables], DataFrame]] = {}
 _sql: dict[str, str] = {}
