@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from millrace.llm.coded_words import binary_slices, coded_words
-from millrace.llm.support import extended, ship, text_buffer
+from millrace.llm.support import extended, ship, small_batches, text_buffer
 from millrace.llm.vbyte_files import pack_values, unpack_values
 from millrace.llm.word_classes import ENTRY, exchange, nearest, rows_by_word
 from millrace.storage import materialize
@@ -43,7 +43,7 @@ CLASSES = 64
 MOST_FREQUENT = 10_000
 #: Longer words are never among the frequent ones.
 LONGEST = 1000
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 3 << 20
 #: Weight of the classes' shares in every transition, in tokens.
 SHARE_WEIGHT = 10.0
 #: A block's counts of parts of tokens become whole numbers of this part, so that their sums do not hang
@@ -69,18 +69,19 @@ def _encode(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.
         with pa.ipc.new_stream(sink, out.schema) as writer:
             writer.write_table(out)
         body, offsets = text_buffer(found.words)
-        cells = [sink.getvalue().to_pybytes(), body.tobytes(), offsets.astype("<i8").tobytes()]
+        cells = [sink.getvalue().to_pybytes(), body.tobytes(), offsets.astype("<i4").tobytes()]
         number = (part << 32) + made
         made += 1
         held.clear()
         return pa.RecordBatch.from_arrays([pa.array([number]), *[pa.array([c], pa.binary()) for c in cells]], names=["block", "texts", "body", "offsets"])
 
     for batch in batches:
-        held.append(batch)
-        size += batch.column("_text").nbytes
-        if size >= block_bytes:
-            yield flush()
-            size = 0
+        for piece in small_batches(batch, "_text", block_bytes):
+            held.append(piece)
+            size += piece.column("_text").nbytes
+            if size >= block_bytes:
+                yield flush()
+                size = 0
     if sum(b.num_rows for b in held):
         yield flush()
 
@@ -119,7 +120,7 @@ def before(values: np.ndarray, end: int) -> np.ndarray:
 
 
 def _words(row: dict) -> pa.BinaryArray:
-    return binary_slices(np.frombuffer(row["body"], np.uint8), np.frombuffer(row["offsets"], "<i8"))
+    return binary_slices(np.frombuffer(row["body"], np.uint8), np.frombuffer(row["offsets"], "<i4"))
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +163,7 @@ def _pairs(batches: Iterator[pa.RecordBatch], frequent: pa.Array) -> Iterator[pa
             key, n = np.unique((before(item, size - 1) * size + item)[texts.training], return_counts=True)
             keys.append(key)
             counts.append(n)
-            if sum(map(len, keys)) > 4_000_000:
+            if sum(map(len, keys)) > 2_000_000:
                 yield from flush()
     if keys:
         yield from flush()

@@ -30,19 +30,24 @@ def byte_set(members: bytes) -> np.ndarray:
 def coded_words(texts: pa.Array, gaps: bytes, breaks: bytes = b"") -> CodedWords:
     """Words between ``gaps`` and ``breaks``, with A-Z in lower case; equal words get equal codes."""
     body, at = text_buffer(texts)
-    body = np.where((body >= ord("A")) & (body <= ord("Z")), body + 32, body).astype(np.uint8)
+    body = body + ((body >= ord("A")) & (body <= ord("Z"))).view(np.uint8) * np.uint8(32)
     stops = byte_set(breaks)[body]
     inside = ~(stops | byte_set(gaps)[body])
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
     text_starts = at[:-1][at[1:] > at[:-1]]
-    begins[text_starts] = inside[text_starts]
-    starts = np.flatnonzero(begins)
-    kept = np.concatenate(([0], np.cumsum(inside)))
-    offsets = np.append(kept[starts], kept[-1])
+    edges = np.empty(len(body) + 1, bool)
+    edges[:-1], edges[-1] = inside, False
+    edges[1:-1] &= ~inside[:-1]
+    edges[text_starts] = inside[text_starts]
+    starts = np.flatnonzero(edges[:-1])
+    edges[1:], edges[0] = inside, False
+    edges[1:-1] &= ~inside[1:]
+    ends_of_texts = at[1:][at[1:] > at[:-1]]
+    edges[ends_of_texts] = inside[ends_of_texts - 1]
+    lengths = np.flatnonzero(edges) - starts
+    offsets = np.concatenate(([0], np.cumsum(lengths)))
+    # A text's first byte counts as a break, and may be the word's own.
     stops[text_starts] = True
-    # Breaks up to each word; a text's first byte counts as one and may be the word's own.
-    seen = np.cumsum(stops)[starts] if len(starts) else np.empty(0, np.int64)
+    seen = np.searchsorted(np.flatnonzero(stops), starts, side="right")
     fresh = np.ones(len(starts), bool)
     fresh[1:] = seen[1:] != seen[:-1]
     coded = binary_slices(body[inside], offsets).dictionary_encode()

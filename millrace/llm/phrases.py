@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from millrace.llm.coded_words import binary_slices, coded_words
 from millrace.llm.double_array import DoubleArray, build
 from millrace.llm.shared_files import make_folder, new_file, open_file
-from millrace.llm.support import ship, text_buffer
+from millrace.llm.support import ship, small_batches, text_buffer
 from millrace.llm.token_ids import gather
 from millrace.operators.ranking import top_per_key
 from millrace.storage import materialize, scratch_path
@@ -49,11 +49,11 @@ SCALE = 1_000_000
 class Sizes:
     """What a task holds at a time; results do not hang on it."""
 
-    block_bytes: int = 16 << 20  # of text per block
-    shard_keys: int = 250_000  # per trie
+    block_bytes: int = 3 << 20  # of text per block
+    shard_keys: int = 100_000  # per trie
     shard_bytes: int = 8 << 20  # of keys per trie
-    held_bytes: int = 96 << 20  # of tries
-    held_counts: int = 1 << 21  # counts not yet passed on
+    held_bytes: int = 48 << 20  # of tries
+    held_counts: int = 1 << 20  # counts not yet passed on
 
 
 BLOCK = "lang string, body binary, offsets binary, codes binary, begins binary"
@@ -74,16 +74,17 @@ def _encode(batches: Iterator[pa.RecordBatch], sizes: Sizes) -> Iterator[pa.Reco
             if not len(found.codes):
                 continue
             body, offsets = text_buffer(found.words)
-            cells = [lang, body.tobytes(), offsets.astype("<i8").tobytes(), found.codes.astype("<i4").tobytes(), np.packbits(found.begins).tobytes()]
+            cells = [lang, body.tobytes(), offsets.astype("<i4").tobytes(), found.codes.astype("<i4").tobytes(), np.packbits(found.begins).tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary() if k else pa.string()) for k, c in enumerate(cells)], names=["lang", "body", "offsets", "codes", "begins"])
         held.clear()
 
     for batch in batches:
-        held.append(batch)
-        size += batch.column("text").nbytes
-        if size >= sizes.block_bytes:
-            yield from flush()
-            size = 0
+        for part in small_batches(batch, "text", sizes.block_bytes):
+            held.append(part)
+            size += part.column("text").nbytes
+            if size >= sizes.block_bytes:
+                yield from flush()
+                size = 0
     if held:
         yield from flush()
 
@@ -187,7 +188,7 @@ class Block:
     def read(cls, row: dict) -> Block:
         codes = np.frombuffer(row["codes"], "<i4").astype(np.int64)
         begins = np.unpackbits(np.frombuffer(row["begins"], np.uint8), count=len(codes)).astype(bool)
-        return cls(row["lang"], np.frombuffer(row["body"], np.uint8), np.frombuffer(row["offsets"], "<i8"), codes, np.append(~begins[1:], False))
+        return cls(row["lang"], np.frombuffer(row["body"], np.uint8), np.frombuffer(row["offsets"], "<i4"), codes, np.append(~begins[1:], False))
 
     def grams(self, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(distinct word numbers, a row each; how often; row of each start) of phrases of ``size`` words."""

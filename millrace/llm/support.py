@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Arrow's other pools keep what they once held; workers live as long as an executor.
+pa.set_memory_pool(pa.system_memory_pool())
+
 BATCH_BYTES = 2 << 20
 ARROW_BYTES = 4 << 20
 BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
