@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -12,6 +12,7 @@ from millrace.ml import features, recommend, selection
 from millrace.ml.estimators import estimator
 from millrace.ml.evaluate import regression_metrics, silhouette
 from millrace.ml.preparation import Preparation
+from millrace.ml.stages import census_cleaning
 from millrace.operators.aggregates import contingency_long
 from millrace.operators.sampling import hash_split
 from millrace.plans import derived
@@ -141,6 +142,50 @@ def _(t):
     return prepared.transform(rows).select("o_orderkey", "split", "label", *[parts[i].alias(f"f{i}") for i in range(4)])
 
 
+# Numbers as wide as the census columns they stand for; a third of the classes is missing.
+_CENSUS = {
+    "age": "o_custkey % 104",
+    "wage_per_hour": "o_orderkey % 10500",
+    "capital_gains": "(o_orderkey * 7) % 101000",
+    "capital_losses": "(o_custkey * 11) % 5200",
+    "dividends_from_stocks": "(o_orderkey * 13) % 100100",
+    "total_person_earnings": "(o_orderkey * 17 + o_custkey) % 100500",
+    "num_persons_worked_for_employer": "o_orderkey % 12",
+    "weeks_worked_in_year": "o_custkey % 57",
+    "own_business_or_self_employed": "o_orderkey % 8",
+}
+_WORKER = "CASE WHEN o_orderkey % 3 = 0 THEN '?' ELSE o_orderpriority END"
+
+
+def _census_bin_sql(column: str) -> str:
+    edges = features.CENSUS_EDGES[column]
+    labels = features.CENSUS_LABELS.get(column) or [f"{a}-{b}" for a, b in zip(edges, edges[1:])]
+    steps = " ".join(f"WHEN {column} BETWEEN {a} AND {b} THEN '{label}'" for a, b, label in zip(edges, edges[1:], labels))
+    return f"CASE {steps} ELSE '{features.CENSUS_DEFAULTS.get(column, 'Out')}' END AS {column}_bin"
+
+
+@query(
+    "ml_census_pipeline",
+    f"""WITH people AS (SELECT o_orderkey, {", ".join(f"{v} AS {c}" for c, v in _CENSUS.items())}, {_WORKER} AS class_of_worker,
+      CASE WHEN CAST(('0x' || substr(md5('|' || o_orderkey), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE < 0.7 THEN 0 ELSE 1 END AS split FROM orders),
+    bounds AS (SELECT quantile_disc(total_person_earnings, 0.05) AS lo, quantile_disc(total_person_earnings, 0.95) AS hi FROM people WHERE split = 0),
+    clean AS (SELECT * REPLACE (CAST(least(greatest(total_person_earnings, lo), hi) AS DOUBLE) AS total_person_earnings, CASE WHEN class_of_worker = '?' THEN
+        (SELECT class_of_worker FROM people WHERE split = 0 AND class_of_worker <> '?' GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) ELSE class_of_worker END AS class_of_worker)
+      FROM people, bounds),
+    codes AS (SELECT class_of_worker AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, class_of_worker) - 1 AS DOUBLE) AS code FROM clean WHERE split = 0 GROUP BY 1)
+    SELECT o_orderkey, split, class_of_worker, code AS class_of_worker_idx, total_person_earnings, {", ".join(_census_bin_sql(c) for c in _CENSUS)}
+    FROM clean LEFT JOIN codes ON class_of_worker = v""",
+)
+def _(t):
+    """Cleaning and coding as one pipeline: fitted on training rows, saved, loaded, applied to all rows."""
+    columns = [F.expr(v).alias(c) for c, v in _CENSUS.items()]
+    people = hash_split(t.orders.select("o_orderkey", *columns, F.expr(_WORKER).alias("class_of_worker")), ["o_orderkey"], [0.7, 0.3])
+    steps = [*census_cleaning(["class_of_worker"], ["total_person_earnings"]), features.indexer(["class_of_worker"])]
+    path = selection.save(Pipeline(stages=steps).fit(people.filter("split = 0")), scratch_path(t.spark, "census"))
+    kept = ["o_orderkey", "split", "class_of_worker", "class_of_worker_idx", "total_person_earnings", *[f"{c}_bin" for c in _CENSUS]]
+    return PipelineModel.load(path).transform(people).select(*kept)
+
+
 # --- estimators -------------------------------------------------------------------------------
 
 
