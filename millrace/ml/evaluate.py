@@ -97,9 +97,9 @@ def score_curve(df: DataFrame, score: str = "score", label: str = "label", bins:
     """Cumulative true and false positives by falling score: (score, pos, neg, tp, fp).
 
     Rows collapse to one per distinct score first. With ``bins``, neighbouring scores are merged
-    into about that many points.
+    into about that many points. Rows without a label or a score count for nothing.
     """
-    hits = df.groupBy(F.col(score).alias("score")).agg(
+    hits = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
         F.sum(F.when(F.col(label) > 0.5, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(label) > 0.5, 0).otherwise(1)).alias("neg"),
     )
@@ -157,7 +157,7 @@ def matched_lists(ranked: DataFrame, actual: DataFrame) -> DataFrame:
         F.array_join(F.transform(in_order, lambda e: e["item_id"].cast("string")), ",").alias("predicted"),
         F.count("hit").alias("hits"),
     )
-    sizes = actual.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_actual"))
+    sizes = truth.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_actual"))
     return per_user.join(sizes, "user_id", "left").withColumn("n_actual", F.coalesce("n_actual", F.lit(0)))
 
 
@@ -178,7 +178,7 @@ def _precision_sums(ranked: DataFrame, actual: DataFrame, ks: Sequence[int]) ->
         sums.append(F.sum(F.when(inside, F.col("part")).otherwise(0.0)).alias(f"score_{k}"))
         sums.append(F.sum(F.when(inside, F.col("hit")).otherwise(0)).alias(f"hits_{k}"))
     per_user = found.withColumn("part", part).groupBy("user_id").agg(*sums)
-    sizes = actual.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_actual"))
+    sizes = truth.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_actual"))
     return per_user.join(sizes, "user_id", "left").withColumn("n_actual", F.coalesce("n_actual", F.lit(0)))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.ml import evaluate
+from pyspark.sql import functions as F
+
+from millrace.ml import curves, evaluate
 from millrace.plans import derived
 from millrace.plans.catalog import query
 
@@ -101,16 +103,20 @@ def _(t):
     return evaluate.average_precision(*derived.lists(t), 10)
 
 
+_MAP_KS = (3, 10, 500)
+
+
 @query(
     "ev_map_at_k",
-    f"WITH {_AP} "
+    f"WITH {derived.ranked_sql(max(_MAP_KS))}{_HITS} "
     + " UNION ALL ".join(
         f"SELECT {k} AS k, count(*) AS users, round(sum(CASE WHEN n_actual > 0 THEN ap ELSE 0 END) / count(*), 6) AS map FROM ({_ap_users(k)})"
-        for k in (3, 10, 500)
+        for k in _MAP_KS
     ),
 )
 def _(t):
-    return evaluate.map_at_k(*derived.lists(t), [3, 10, 500])
+    """Lists as deep as the largest k."""
+    return evaluate.map_at_k(*derived.lists(t, max(_MAP_KS)), _MAP_KS)
 
 
 _DEEP = (10, 500, 2000)
@@ -125,5 +131,24 @@ _DEEP = (10, 500, 2000)
     ),
 )
 def _(t):
-    """Lists as deep as the largest k; ``ev_map_at_k`` ranks ten items for every k, as its SQL does."""
     return evaluate.map_at_k(*derived.lists(t, max(_DEEP)), _DEEP)
+
+
+_BINNED = (
+    derived.SCORED
+    + f""",
+two_scores AS (SELECT 'plain' AS model, label, score FROM scored UNION ALL SELECT 'squared', label, score * score FROM scored),
+hist AS (SELECT model, greatest(least(CAST(floor(score * {curves.BINS}) AS INTEGER), {curves.BINS - 1}), 0) AS bin, sum(label) AS pos, sum(1 - label) AS neg FROM two_scores GROUP BY ALL),
+every AS (SELECT model, sum(pos) AS p, sum(neg) AS q, unnest(range({curves.BINS + 1})) AS point FROM hist GROUP BY model),
+sums AS (SELECT e.model, CAST(e.point AS INTEGER) AS point, p, q, sum(coalesce(pos, 0)) OVER w AS tp, sum(coalesce(neg, 0)) OVER w AS fp
+  FROM every e LEFT JOIN hist h ON h.model = e.model AND {curves.BINS} - h.bin = e.point WINDOW w AS (PARTITION BY e.model ORDER BY e.point)),
+points AS (SELECT model, point, round(({curves.BINS} - point) / {curves.BINS}, 6) AS threshold, round(fp / q, 6) AS fpr, round(tp / p, 6) AS tpr,
+  round(first_value(tp / nullif(tp + fp, 0) IGNORE NULLS) OVER (PARTITION BY model ORDER BY point ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 6) AS precision FROM sums)"""
+)
+
+
+@query("ev_histogram_curves", f"WITH {_BINNED} SELECT * FROM points")
+def _(t):
+    """ROC and precision-recall points of two scores, from one pass over the rows."""
+    scored = derived.scored_lines(t)
+    return curves.curve_points(curves.score_histograms(scored, {"plain": F.col("score"), "squared": F.col("score") * F.col("score")}))

@@ -6,9 +6,10 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from millrace.ml import features, recommend, selection
+from millrace.ml import curves, features, recommend, selection
 from millrace.ml.estimators import estimator
 from millrace.ml.evaluate import regression_metrics, silhouette
 from millrace.ml.preparation import Preparation
@@ -456,3 +457,28 @@ def _(t):
     ours = regression_metrics(scored).first()
     found = {m: RegressionEvaluator(metricName=m).evaluate(scored) for m in ("mse", "rmse", "mae", "r2")}
     return t.spark.createDataFrame([(m, abs(ours[m] - v) <= 1e-6 * max(1.0, abs(v))) for m, v in found.items()], "metric string, agrees boolean")
+
+
+@query("ev_model_curves", "SELECT model, CAST(16 AS BIGINT) AS n_points, true AS area_agrees, true AS starts_and_ends, true AS rises FROM (SELECT unnest(['linear', 'tree', 'boosted']) AS model)")
+def _(t):
+    """Curves of three fitted classifiers from one pass over the test rows, against the library's area."""
+    _, _, train, test = _outcomes(t)
+    models = {"linear": estimator("logistic_regression", maxIter=20), "tree": estimator("decision_tree_clf", maxDepth=4, maxBins=50, seed=1), "boosted": estimator("gbt_clf", maxDepth=3, maxIter=3, seed=1)}
+    scored = test.select("o_orderkey", "label", "features")
+    for name, unfitted in models.items():
+        fitted = unfitted.fit(train)
+        scored = fitted.transform(scored).withColumn(name, vector_to_array(fitted.getProbabilityCol())[1]).drop("rawPrediction", "probability", "prediction")
+    scored = materialize(scored.select("label", *models), "scored")
+    histograms = materialize(curves.score_histograms(scored, {m: F.col(m) for m in models}), "histograms")
+    points = curves.curve_points(histograms)
+    # Pairs that share a bin are all a histogram cannot order.
+    share = F.sum(F.col("pos") * F.col("neg")) / (F.sum("pos") * F.sum("neg"))
+    unsure = {r["model"]: r["share"] / 2 for r in histograms.groupBy("model").agg(share.alias("share")).collect()}
+    found = {r["model"]: r["area_roc"] for r in curves.areas(points).collect()}
+    exact = {m: BinaryClassificationEvaluator(rawPredictionCol=m).evaluate(scored) for m in models}
+    agrees = F.create_map(*[F.lit(x) for m in models for x in (m, abs(found[m] - exact[m]) <= unsure[m] + 1e-4)])
+    steps = Window.partitionBy("model").orderBy("point")
+    checked = points.withColumn("up", F.coalesce((F.col("tpr") >= F.lag("tpr").over(steps)) & (F.col("fpr") >= F.lag("fpr").over(steps)), F.lit(True)))
+    ends = F.min(F.struct("point", "fpr", "tpr")), F.max(F.struct("point", "fpr", "tpr"))
+    return checked.groupBy("model").agg(F.count(F.lit(1)).alias("n_points"), F.first(agrees[F.col("model")]).alias("area_agrees"),
+        ((ends[0]["fpr"] + ends[0]["tpr"] == 0) & (ends[1]["fpr"] + ends[1]["tpr"] == 2)).alias("starts_and_ends"), F.bool_and("up").alias("rises"))
