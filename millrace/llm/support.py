@@ -61,6 +61,25 @@ def small_batches(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -
     yield batch.slice(start)
 
 
+def large_batches(batches: Iterator[pa.RecordBatch], column: str, least: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in batches of about ``least`` bytes of ``column``, or one row that has more."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def joined() -> Iterator[pa.RecordBatch]:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    for batch in batches:
+        for part in small_batches(batch, column, least):
+            if held and size + part.column(column).nbytes > least:
+                yield from joined()
+                held, size = [], 0
+            held.append(part)
+            size += part.column(column).nbytes
+    if held:
+        yield from joined()
+
+
 def byte_lengths(texts: pa.Array) -> np.ndarray:
     return np.diff(text_buffer(texts)[1])
 

@@ -19,6 +19,7 @@ import regex
 from millrace.llm.textcodes import SPACES, Chunks, chunks
 
 MOST_CACHED = 160_000
+MARKS = ".,;:!?"
 # Fixed value: how byte-level tokenizers split a text.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _encoders: dict[str, Encoder] = {}
@@ -79,9 +80,18 @@ class Encoder:
         #: ASCII is normalised and written character by character.
         self.plain = {c: chr(c) if self.normaliser is None else self.normaliser.normalize_str(chr(c)) for c in range(128)}
         self.written = dict(enumerate(self.character[:128]))
+        self.lowered = all(v == chr(c).lower() for c, v in self.plain.items())
+        #: Whether a run of ASCII letters is one piece, a mark behind it another, and a space before it part of it.
+        split = (lambda x: None) if self.pattern is None else self.pattern.findall
+        self.runs = split("word") == ["word"] and all(split("word" + m) == ["word", m] for m in MARKS)
+        self.spaced = split(" word") == [" word"]
 
     def _piece(self, piece: str) -> bytes:
-        written = piece.translate(self.written) if piece.isascii() else "".join([self.character[b] for b in piece.encode()])
+        rest = piece[1:]
+        if piece.isascii() and rest.isprintable() and " " not in rest and (piece[0] == " " or piece[0].isprintable()):
+            written = self.written[32] + rest if piece[0] == " " else piece
+        else:
+            written = piece.translate(self.written) if piece.isascii() else "".join([self.character[b] for b in piece.encode()])
         found = self.pieces[piece] = as_bytes([t.id for t in self.model.tokenize(written)])
         return found
 
@@ -91,15 +101,25 @@ class Encoder:
             self.pieces.clear()
         out: list[bytes | None] = []
         known, normalise = self.pieces, self.normaliser
+        runs, spaced, lowered = self.runs, self.spaced, self.lowered
         split = None if self.pattern is None else self.pattern.findall
         for text in texts:
             # Beyond these letters, what counts as a letter hangs on a library's Unicode version.
             if split is None or not text.isascii() and max(text) > "\u024f":
                 out.append(None)
                 continue
+            ascii = text.isascii()
             if normalise is not None:
-                text = text.translate(self.plain) if text.isascii() else normalise.normalize_str(text)
-            out.append(b"".join([known.get(x) or self._piece(x) for x in split(text)]))
+                text = text.lower() if ascii and lowered else text.translate(self.plain) if ascii else normalise.normalize_str(text)
+            pieces = None
+            if runs and ascii:
+                run = text[1:] if spaced and text[:1] == " " else text
+                if run.isalpha():
+                    out.append(known.get(text) or self._piece(text))
+                    continue
+                if run[-1:] in MARKS and run[:-1].isalpha():
+                    pieces = text[:-1], text[-1]
+            out.append(b"".join([known.get(x) or self._piece(x) for x in pieces or split(text)]))
         others = [i for i, x in enumerate(out) if x is None]
         if others:
             for i, found in zip(others, self.whole.encode_batch_fast([texts[i] for i in others], add_special_tokens=False)):
@@ -142,21 +162,6 @@ def encode(texts: pa.Array, path: str, spaces_matter: bool, end_id: int | None =
     return encode_by_word(texts, encoder(path), known, spaces_matter, end_id)
 
 
-def count_ids(texts: pa.Array, path: str, spaces_matter: bool, end_id: int | None = 0) -> np.ndarray:
-    """How often each id occurs in all texts: each distinct word's ids, times the word's count."""
-    parts = chunks(texts)
-    if spaces_matter and odd_words(parts).any():
-        return np.bincount(encode(texts, path, spaces_matter, end_id)[0])
-    keys = parts.words if spaces_matter else [w.lstrip(SPACES) for w in parts.words]
-    of_word = _cache.setdefault((path, spaces_matter), WordCache()).ids(keys, encoder(path))
-    times = np.repeat(np.bincount(parts.codes, minlength=len(keys)), [len(x) // 4 for x in of_word])
-    counts = np.bincount(np.frombuffer(b"".join(of_word), np.uint32), times).astype(np.int64)
-    if end_id is not None:
-        counts = np.pad(counts, (0, max(0, end_id + 1 - len(counts))))
-        counts[end_id] += len(texts)
-    return counts
-
-
 def odd_words(parts: Chunks) -> np.ndarray:
     """Distinct words that end in white space beyond ASCII, after which a cut may matter."""
     return np.array([not w.isascii() and w.decode()[-1].isspace() for w in parts.words], bool)

@@ -70,3 +70,19 @@ def test_pieces_fill_sequences_without_gaps(spark):
         assert r.length == len(r.ids)
         assert r.start == 2048 * r.piece
     assert pack(cut_pieces(df.limit(0), PATH)).count() == 0
+
+
+def test_repeated_rows_and_missing_pieces(spark):
+    """One row makes up half the table; its pieces stay where they were cut. Taking pieces away leaves no gaps."""
+    rows = [(1, "cat dog " * 300)] * 400 + [(i, "running " * (i % 50 + 1)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    pieces = cut_pieces(df, PATH, with_ids=False)
+    for given in (pieces, pieces.filter("doc_id % 3 <> 0"), pieces.drop("_part", "_nth")):
+        packed = pack(given).toPandas()
+        assert len(packed) == given.count() and "_nth" not in packed.columns
+        for _, group in packed.sort_values("offset").groupby("sequence_id"):
+            assert group["offset"].tolist() == (np.cumsum(group["length"]) - group["length"]).tolist()
+            assert group["length"].sum() <= 2048
+        assert packed["sequence_id"].nunique() <= max((packed["length"] == 601).sum() / 3, packed["length"].sum() / 2048) * 1.02 + 1  # three of 601 fit
+    plan_text = pack(pieces)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan_text
