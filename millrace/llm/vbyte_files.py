@@ -1,6 +1,7 @@
 """Token ids in files: frequency ranks in byte-aligned variable-length coding.
 
-All texts are encoded once to count the ids; the most frequent id gets rank 0, and so on. Ranks are
+All texts are encoded once, into rows of plain ids in the shared folder, from which the ids are counted;
+the most frequent id gets rank 0, and so on. The rows, not the texts, are then sorted by document. Ranks are
 stored in one to four bytes each, all lengths apart in control bytes: two bits per value, four
 values per control byte. Decoding looks the lengths of four values up by control byte, and takes
 all values of a block from the bytes at once.
@@ -10,8 +11,8 @@ each a row of blocks with document ids, token counts and ranks under a checksum.
 one task writes, in blocks of about ``BLOCK_TOKENS`` tokens, so reading needs memory for a block
 only. The table of shards gives each shard's first token position.
 
-Defined results: a null or empty text is its end id alone. Null document ids stand last, and equal
-ids by a hash of their text; repeated rows are stored each. An empty table gives no shards.
+Defined results: a null or empty text is its end id alone. Null document ids stand last, and rows of
+one id in any order, each stored; they may be dealt to several shards. An empty table gives no shards.
 Other columns are not stored.
 """
 
@@ -28,9 +29,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.coded_words import binary_slices
 from millrace.llm.shared_files import make_folder, new_file, open_file, read_exactly
-from millrace.llm.support import doc_key, ship, small_batches
-from millrace.llm.token_ids import count_ids, encode
+from millrace.llm.support import large_batches, ship, small_batches, text_buffer
+from millrace.llm.token_ids import encode, encoder
 from millrace.storage import materialize
 
 MAGIC, VERSION = b"FRVB", 1
@@ -65,21 +67,45 @@ def unpack_values(control: bytes, data: bytes, n: int) -> np.ndarray:
     return value & MASKS[sizes]
 
 
-def _count(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
+def _planes(at: np.ndarray, width: int) -> np.ndarray:
+    """Where each byte of each value goes when every text's first bytes stand together, then its second bytes, and so on."""
+    n = np.diff(at)
+    start = np.arange(at[-1]) + np.repeat((width - 1) * at[:-1], n)
+    return start[:, None] + np.repeat(n, n)[:, None] * np.arange(width)
+
+
+def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int, kind: str, batch_bytes: int) -> Iterator[pa.RecordBatch]:
+    for whole in large_batches(batches, "_text", batch_bytes):
+        for batch in small_batches(whole, "_text", batch_bytes):
+            ids, at = encode(batch.column("_text"), path, True, end_id)
+            width = np.dtype(kind).itemsize
+            body = np.empty(len(ids) * width, np.uint8)
+            body[_planes(at, width)] = ids.astype(kind).view(np.uint8).reshape(-1, width)
+            cells = binary_slices(body, at * width)
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), cells], names=["_id", "_ids"])
+
+
+def _read_plain(cells: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of :func:`_encode` one after another, and their offsets."""
+    body, at = text_buffer(cells)
+    width = np.dtype(kind).itemsize
+    at = at // width
+    return np.ascontiguousarray(body[_planes(at, width)]).view(kind).ravel(), at
+
+
+def _count(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
     totals = np.zeros(0, np.int64)
-    for whole in batches:
-        for batch in small_batches(whole, "_text"):
-            counts = count_ids(batch.column("_text"), path, True, end_id)
-            counts = np.pad(counts, (0, max(0, len(totals) - len(counts))))
-            counts[: len(totals)] += totals
-            totals = counts
+    for batch in batches:
+        counts = np.bincount(_read_plain(batch.column("_ids"), kind)[0])
+        totals = np.pad(totals, (0, max(0, len(counts) - len(totals))))
+        totals[: len(counts)] += counts
     some = np.flatnonzero(totals)
     yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(totals[some], pa.int64())], names=["token", "n"])
 
 
-def ids_by_frequency(texts: DataFrame, path: str, end_id: int = 0) -> np.ndarray:
+def ids_by_frequency(encoded: DataFrame, kind: str) -> np.ndarray:
     """All ids in use, the most frequent first; never more than the vocabulary holds."""
-    counted = texts.mapInArrow(partial(_count, path=path, end_id=end_id), "token long, n long")
+    counted = encoded.select("_ids").mapInArrow(partial(_count, kind=kind), "token long, n long")
     rows = counted.groupBy("token").agg(F.sum("n").alias("n")).collect()
     return np.array([r["token"] for r in sorted(rows, key=lambda r: (-r["n"], r["token"]))], np.uint32)
 
@@ -93,7 +119,7 @@ def _block(doc_ids: list[int | None], counts: np.ndarray, ranks: np.ndarray) ->
     return BLOCK.pack(len(doc_ids), len(ranks), len(count_data), len(control), len(data), zlib.crc32(body)) + body
 
 
-def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int, folder: str, by_rank: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterator[pa.RecordBatch], kind: str, folder: str, by_rank: np.ndarray) -> Iterator[pa.RecordBatch]:
     rank_of = np.zeros(int(by_rank.max(initial=0)) + 1, np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
     part = TaskContext.get().partitionId()
@@ -108,8 +134,8 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int, folder: st
             held.clear()
 
         for whole in batches:
-            for batch in small_batches(whole, "_text", 2 << 20):
-                ids, at = encode(batch.column("_text"), path, True, end_id)
+            for batch in small_batches(whole, "_ids", 2 << 20):
+                ids, at = _read_plain(batch.column("_ids"), kind)
                 held.append((batch.column("_id").to_pylist(), np.diff(at), rank_of[ids]))
                 tokens += len(ids)
                 documents += batch.num_rows
@@ -121,17 +147,21 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, end_id: int, folder: st
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([name]), pa.array([documents], pa.int64()), pa.array([tokens], pa.int64())], names=["shard", "path", "documents", "tokens"])
 
 
-def write_ids(df: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
+def write_ids(df: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, batch_bytes: int = 12 << 20) -> DataFrame:
     """Write a data set in ascending order of ``id_col`` (a whole number); the table of its shards comes back."""
     ship(df.sparkSession)
-    docs = df.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"), doc_key(id_col, text_col)[0].alias("_key"))
-    by_rank = ids_by_frequency(docs.select("_text"), path, end_id)
+    docs = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
+    kind = "<u2" if max(encoder(path).whole.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+    rows = docs.mapInArrow(partial(_encode, path=path, end_id=end_id, kind=kind, batch_bytes=batch_bytes), "_id long, _ids binary")
+    # The number of a row spreads copies of one document; it is stored, so that it does not change in a second try.
+    encoded = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "encoded")
+    by_rank = ids_by_frequency(encoded, kind)
     make_folder(folder)
     with new_file(f"{folder}/ranks") as out:
         out.write(HEAD.pack(MAGIC, VERSION) + by_rank.astype("<u4").tobytes())
-    order = [F.col("_id").asc_nulls_last(), F.col("_key")]
-    placed = docs.repartitionByRange(*order).sortWithinPartitions(*order).select("_id", "_text")
-    written = placed.mapInArrow(partial(_write, path=path, end_id=end_id, folder=folder, by_rank=by_rank), "shard long, path string, documents long, tokens long")
+    order = [F.col("_id").asc_nulls_last(), F.col("_row")]
+    placed = encoded.repartitionByRange(*order).sortWithinPartitions(*order).select("_id", "_ids")
+    written = placed.mapInArrow(partial(_write, kind=kind, folder=folder, by_rank=by_rank), "shard long, path string, documents long, tokens long")
     return materialize(written, "shards")
 
 
