@@ -11,8 +11,8 @@ The network is fitted on the driver from a bounded sample of labelled rows: at m
 all. Rows are weighted back to the shares of the classes, so scores are probabilities.
 
 Defined results: a null or empty text is scored like a text of padding only. Rows are scored one by
-one, so repeated rows get equal scores. A document labelled more than once counts once per label
-row; null labels are no labels. If a class has no labelled row, or there are no labels, the score
+one, so repeated rows get equal scores. A document counts once for each label it was given, however
+often it was; of texts with one id, that with the least hash is learned from. Null labels are no labels. If a class has no labelled row, or there are no labels, the score
 is the share of label 1 (0.5 without labels). All other columns are kept, but for those with the name
 of a result, which it replaces.
 """
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.support import extended, kept_columns, ship, text_buffer
+from millrace.llm.support import extended, kept_columns, map_arrow, ship, text_buffer
 from millrace.storage import materialize
 
 WIDTH, STRIDE, SECTION = 16, 4, 128
@@ -156,11 +156,13 @@ def _gradients(net: dict, bodies: list[np.ndarray], labels: np.ndarray, weights:
 
 def sample_labels(labels: DataFrame, id_col: str, label_col: str, rows: int) -> tuple[list[tuple], dict[int, int]]:
     """Up to ``rows`` labelled ids of each class in hash order, held-out ids left out, and class sizes."""
-    usable = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
+    given = F.col(f"`{label_col}`")
+    usable = labels.filter(given.isin(0, 1) & F.col(f"`{id_col}`").isNotNull() & ~held_out(f"`{id_col}`"))
+    usable = usable.select(F.col(f"`{id_col}`").alias("i"), given.cast("int").alias("k")).distinct()
     picked, sizes = [], {0: 0, 1: 0}
-    for row in usable.groupBy(F.col(label_col).cast("int").alias("k")).count().collect():
+    for row in usable.groupBy("k").count().collect():
         sizes[row["k"]] = row["count"]
-        own = usable.filter(F.col(label_col) == row["k"]).select(F.col(id_col).alias("i"))
+        own = usable.filter(F.col("k") == row["k"]).select("i")
         order = F.xxhash64("i"), F.col("i")
         picked += [(r["i"], row["k"]) for r in own.orderBy(*order).limit(rows).collect()]
     return picked, sizes
@@ -177,8 +179,11 @@ def train(
         known = sum(sizes.values())
         return {"share": sizes[1] / known if known else 0.5}
     wanted = spark.createDataFrame(picked, f"_id {dict(labels.dtypes)[id_col]}, _label int")
-    found = docs.join(F.broadcast(wanted), F.col(id_col) == F.col("_id"))
-    rows = materialize(found.select("_id", "_label", F.coalesce(text_col, F.lit("")).cast("binary").alias("_text")), "training")
+    texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("_text"))
+    # Copies of an id meet map-side: a row per id and label is left, so at most 2 * train_rows.
+    one = F.min(F.struct(F.xxhash64("_text").alias("h"), "_text")).alias("t")
+    found = texts.join(F.broadcast(wanted), "_id").groupBy("_id", "_label").agg(one)
+    rows = materialize(found.select("_id", "_label", F.col("t._text").alias("_text")), "training")
     order, left, taken = sorted(rows.select(F.xxhash64("_id").alias("h"), "_id", "_label", F.octet_length("_text").alias("n")).collect()), train_bytes, set()
     for r in order:
         if r["n"] <= left:
@@ -205,6 +210,6 @@ def score(df: DataFrame, net: dict, text_col: str = "text", keep: list[str] | No
     """``keep`` columns of every row (all when not given) with ``score`` and ``predicted``."""
     keep = kept_columns(df, keep, ("score", "predicted"))
     ship(df.sparkSession)
-    needed = df.select(*dict.fromkeys([*keep, text_col]))
-    scored = needed.mapInArrow(partial(_score, net=pickle.dumps(net), text_col=text_col, keep=keep), extended(df.select(*[f"`{c}`" for c in keep]).schema, "score double"))
+    needed = df.select(*[f"`{c}`" for c in dict.fromkeys([*keep, text_col])])
+    scored = map_arrow(needed, partial(_score, net=pickle.dumps(net), text_col=text_col, keep=keep), extended(df.select(*[f"`{c}`" for c in keep]).schema, "score double"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

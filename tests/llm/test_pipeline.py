@@ -4,12 +4,14 @@ import duckdb
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF
 from millrace.llm.queries import all_queries, all_sql
 from millrace.llm.token_ids import encode
-from millrace.session import TABLES
+from millrace.session import TABLES, load
+from millrace.storage import materialize
 from tools.check import TYPES, canonical
 
 
@@ -39,6 +41,24 @@ def test_stages_take_effect_and_keep_columns(spark, tmp_path):
     assert packed["length"].sum() == len(want) and set(packed["doc_id"]) == set(left["doc_id"])
 
 
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    names = ["_k1", "_g1", "_gone", "_id", "_label", "score", "predicted", "kept", "n_words", "a.b", "_nth", "extra"]
+    docs = load(spark, SF, "documents").limit(60)
+    docs = docs.select("*", *[F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for column in ("text", "doc_id", "lang"):
+        docs = docs.unionByName(docs.limit(2).withColumn(column, F.lit(None).cast(docs.schema[column].dataType)))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        before = docs
+        docs = materialize(stage(spark, docs, SF), "stage")
+        assert docs.columns == before.columns
+        same = F.lit(True)
+        for n in names:
+            same &= F.col("doc_id").isNull() | (F.col(f"`{n}`") == F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")))
+        assert docs.filter(~same).count() == 0 and 0 < docs.count() <= before.count(), name
+    packed = corpus_pipeline.STAGES[4][1](spark, docs, SF)
+    assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
 def test_pipeline_of_an_empty_table(spark):
     now = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -112,3 +112,42 @@ def test_training_is_bounded_and_leaves_held_out_rows(spark):
     assert quality_cnn.score(df.limit(0), net).count() == 0
     assert quality_cnn.train(docs, labels.filter("quality = 1"))["share"] == 1
     assert quality_cnn.train(docs, labels.limit(0))["share"] == 0.5
+
+
+def test_repeated_ids_stay_bounded(spark):
+    """A thousand copies of one id, and of its label, weigh as one, and extra columns do no harm."""
+    docs = spark.createDataFrame([(1, "x" * 1990 + str(i % 7), i, "p") for i in range(1000)] + [(i, f"text number {i}", i, "p") for i in range(2, 60)], "doc_id long, text string, _id int, `a.b` string")
+    labels = spark.createDataFrame([(1, 1, 5)] * 1500 + [(i, i % 2, 5) for i in range(2, 60)], "doc_id long, quality int, _label int")
+    usable = labels.filter(~quality_cnn.held_out()).select("doc_id", "quality").distinct().groupBy("quality").count().collect()
+    picked, sizes = quality_cnn.sample_labels(labels, "doc_id", "quality", 20)
+    assert sizes == {r["quality"]: r["count"] for r in usable} and len(picked) == len(set(picked)) <= 40
+    seen = []
+    original, quality_cnn.fit = quality_cnn.fit, lambda texts, *a, **k: seen.append(texts) or {"share": 0.25}
+    try:
+        net = quality_cnn.train(docs, labels, train_rows=20, train_bytes=5000)
+    finally:
+        quality_cnn.fit = original
+    assert sum(map(len, seen[0])) <= 5000 and len(seen[0]) <= 40 and sum(t.startswith(b"xxx") for t in seen[0]) <= 1
+    assert quality_cnn.score(docs, net).columns == ["doc_id", "text", "_id", "a.b", "score", "predicted"]
+    assert quality_cnn.score(docs, net).filter("score = 0.25").count() == 1058
+
+
+def test_score_is_that_of_a_plain_network():
+    """The same numbers from loops over every chunk, section and unit."""
+    rng = np.random.default_rng(5)
+    net = quality_cnn.fit([b"good words here", b"zzzz qqqq" * 9], np.array([1.0, 0.0]), np.ones(2), epochs=1)
+    for size in (0, 3, 16, 17, 700, 40_000):
+        text = bytes(rng.integers(32, 127, size).astype(np.uint8))
+        n = -(-max(size - quality_cnn.WIDTH, 0) // quality_cnn.STRIDE) + 1
+        n = -(-n // quality_cnn.SECTION) * quality_cnn.SECTION
+        sections = []
+        for i in range(n):
+            chunk = [text[j] if j < size else quality_cnn.PAD for j in range(i * quality_cnn.STRIDE, i * quality_cnn.STRIDE + quality_cnn.WIDTH)]
+            value = np.concatenate([net["embed"][b] for b in chunk]) @ net["filters"] + net["bias"]
+            if i % quality_cnn.SECTION == 0:
+                sections.append(np.zeros_like(value))
+            sections[-1] = np.maximum(sections[-1], value)
+        x = np.concatenate([np.mean(sections, 0), np.max(sections, 0)])
+        hidden = np.maximum(x @ net["w1"] + net["b1"], 0)
+        expect = 1 / (1 + np.exp(-(hidden @ net["w2"] + net["b2"])))
+        assert quality_cnn.score_texts(net, pa.array([text.decode()]))[0] == pytest.approx(expect, rel=1e-4)
