@@ -19,6 +19,7 @@ and every score 0. An empty table gives an empty table. Other columns are not lo
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -43,7 +44,7 @@ CLASSES = 64
 MOST_FREQUENT = 10_000
 #: Longer words are never among the frequent ones.
 LONGEST = 1000
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 10 << 20
 #: Weight of the classes' shares in every transition, in tokens.
 SHARE_WEIGHT = 10.0
 #: A block's counts of parts of tokens become whole numbers of this part, so that their sums do not hang
@@ -217,11 +218,9 @@ def _heads(batches: Iterator[pa.RecordBatch], frequent: pa.Array, counts: np.nda
         for row in batch.to_pylist():
             item = _items(_words(row), frequent)
             c, klass = known[item], np.where(item < len(frequent), of_item[item], -1)
-            cells = [row["texts"], c.astype("<i8").tobytes(), klass.astype("<i2").tobytes()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["block"]]), pa.array([-1], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), *[pa.array([x], pa.binary()) for x in cells]],
-                names=["block", "code", "c", "klass", "texts", "counts", "classes"],
-            )
+            head = pickle.dumps((row["texts"], c.astype("<i8"), klass.astype("<i2")))
+            cells = [pa.array([row["block"]]), pa.array([-1], pa.int32()), pa.nulls(1, pa.int64()), pa.array([head], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cells, names=["block", "code", "value", "head"])
 
 
 def _regroup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,18 +233,17 @@ def _regroup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         code = batch.column("code").to_numpy()
+        value = batch.column("value").fill_null(0).to_numpy(zero_copy_only=False)
         heads = np.flatnonzero(code == -1)
         for a, b in zip([0, *heads.tolist()], [*heads.tolist(), batch.num_rows]):
             if b > a and code[a] == -1:
                 if held is not None:
                     yield done()
-                cell = {k: batch.column(k)[a].as_py() for k in ("block", "texts", "counts", "classes")}
-                held = (cell["block"], cell["texts"], np.frombuffer(cell["counts"], "<i8").copy(), np.frombuffer(cell["classes"], "<i2").copy())
+                held = (batch.column("block")[a].as_py(), *pickle.loads(batch.column("head")[a].as_py()))
                 a += 1
             if b > a:
-                seen = batch.slice(a, b - a)
-                held[2][code[a:b]] = seen.column("c").fill_null(0).to_numpy(zero_copy_only=False)
-                held[3][code[a:b]] = seen.column("klass").fill_null(-1).to_numpy(zero_copy_only=False)
+                held[2][code[a:b]] = value[a:b] >> 8
+                held[3][code[a:b]] = value[a:b] & 0xFF
     if held is not None:
         yield done()
 
@@ -362,10 +360,11 @@ def fit(
     placed = rare.repartition("word").sortWithinPartitions("word")
     assigned = materialize(placed.mapInArrow(partial(_assign, counts=counts, classes=classes), "word string, c long, klass int"), "lm_classes")
     entries = blocks.mapInArrow(partial(_entries, frequent=frequent), "word string, block long, code int")
-    looked_up = entries.join(assigned, "word", "left").select("block", "code", "c", "klass")
-    shape = "block long, code int, c long, klass int, texts binary, counts binary, classes binary"
-    heads = blocks.mapInArrow(partial(_heads, frequent=frequent, counts=frequent_counts, of_item=of_item), shape)
-    rows = heads.unionByName(looked_up, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "code")
+    # Count and class travel as one number; words of no training text have none.
+    value = F.shiftleft("c", 8) + F.col("klass")
+    looked_up = entries.join(assigned.select("word", value.alias("value")), "word").select("block", "code", "value", F.lit(None).cast("binary").alias("head"))
+    heads = blocks.mapInArrow(partial(_heads, frequent=frequent, counts=frequent_counts, of_item=of_item), looked_up.schema)
+    rows = heads.union(looked_up).repartition("block").sortWithinPartitions("block", "code")
     known = materialize(rows.mapInArrow(_regroup, "block long, texts binary, counts binary, classes binary"), "lm_known")
 
     table = np.zeros((classes + 2, classes + 2))
