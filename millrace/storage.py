@@ -6,7 +6,6 @@ cluster shares between executors, so that a lost executor never loses an interme
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -42,16 +41,6 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files that no live frame needs, at once and not at some later collection.
-
-    Spark's cleaner follows the driver's garbage collector. To be called where a stored table has
-    taken the place of a large shuffle and the frames before it are out of scope.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:
     """Hint a broadcast only after measuring that ``df`` stays below both bounds.
 
