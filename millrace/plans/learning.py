@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from millrace.ml import curves, features, recommend, selection
+from millrace.ml import curves, features, recommend, selection, trees
 from millrace.ml.estimators import estimator
 from millrace.ml.evaluate import regression_metrics, silhouette
 from millrace.ml.preparation import Preparation
@@ -450,6 +450,30 @@ def _(t):
     return tables[0].union(tables[1]).union(tables[2])
 
 
+@query(
+    "mdl_tree_table",
+    f"SELECT model, n_rows, n_rows AS n_agree, CAST(n_trees AS BIGINT) AS n_trees, true AS whole FROM ({_TEST_ORDERS}), (VALUES ('tree', 1), ('forest', 8), ('boosted', 3)) v(model, n_trees)",
+)
+def _(t):
+    """Nodes of saved models as tables; walked by column expressions they give the model's prediction on every test row."""
+    _, _, train, test = _outcomes(t)
+    models = {
+        "tree": estimator("decision_tree_clf", maxDepth=5, maxBins=50, seed=1),
+        "forest": estimator("random_forest_clf", numTrees=8, maxDepth=6, maxBins=150, seed=1),
+        "boosted": estimator("gbt_clf", maxDepth=3, maxIter=3, seed=1),
+    }
+    parts = []
+    for name, unfitted in models.items():
+        fitted = unfitted.fit(train)
+        saved = trees.read(t.spark, selection.save(fitted, scratch_path(t.spark, name)))
+        walked = trees.predict(saved, fitted.transform(test), output="walked")
+        agree = walked.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("prediction") == F.col("walked")).alias("n_agree"))
+        n_trees = F.countDistinct("tree")
+        shape = saved.nodes.agg(n_trees.alias("n_trees"), (F.count_if(F.col("left") < 0) - F.count_if(F.col("left") >= 0) == n_trees).alias("whole"))
+        parts.append(agree.join(F.broadcast(shape)).withColumn("model", F.lit(name)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("ev_model_regression", "SELECT unnest(['mse', 'rmse', 'mae', 'r2']) AS metric, true AS agrees")
 def _(t):
     """Our metrics of a fitted model against the library's evaluator."""
