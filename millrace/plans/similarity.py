@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.ml import recommend
+from millrace.ml import als_search, recommend
 from millrace.operators.joins import lookup
+from millrace.operators.overlap import similar_pairs
 from millrace.operators.similarity import item_cosine, nearest_vectors, similar_items
 from millrace.plans import derived
 from millrace.plans.catalog import query
@@ -22,6 +23,16 @@ def _(t):
     return item_cosine(derived.ratings(t), min_pairs=3)
 
 
+@query(
+    "sim_item_threshold",
+    f"""WITH {derived.RATINGS} SELECT * FROM (SELECT a.item_id AS item1, b.item_id AS item2,
+      round(sum(a.rating * b.rating) / (sqrt(sum(a.rating * a.rating)) * sqrt(sum(b.rating * b.rating))), 6) AS score, count(*) AS n_pairs
+      FROM ratings a JOIN ratings b ON a.user_id = b.user_id AND a.item_id < b.item_id GROUP BY 1, 2) WHERE n_pairs >= 3 AND score > 0.9""",
+)
+def _(t):
+    return similar_pairs(derived.ratings(t), min_score=0.9, min_pairs=3)
+
+
 @query(
     "sim_item_topk",
     f"""WITH {derived.RATINGS} SELECT item_id, round(xy / (sqrt(xx) * sqrt(yy)), 6) AS score, n_pairs, p_name AS name FROM (
@@ -69,6 +80,27 @@ def _(t):
     )
 
 
+_GRID = [(rank, reg) for rank in (5, 10) for reg in (0.05, 0.2)]
+
+
+@query(
+    "sel_als_grid",
+    f"""WITH {derived.RATINGS}, numbered AS (SELECT dense_rank() OVER (ORDER BY user_id) - 1 AS u, dense_rank() OVER (ORDER BY item_id) - 1 AS i FROM ratings),
+    folded AS (SELECT u, i, CAST(('0x' || substr(md5('fold|' || u || '|' || i), 1, 8)) AS BIGINT) >= 2147483648 AS fold FROM numbered),
+    known AS (SELECT u, i, (u, fold) IN (SELECT (u, NOT fold) FROM folded) AND (i, fold) IN (SELECT (i, NOT fold) FROM folded) AS k FROM folded)
+    SELECT CAST(rank AS INTEGER) AS rank, CAST(reg AS DOUBLE) AS reg, count(*) FILTER (k) AS n_scored, count(*) FILTER (NOT k) AS n_dropped, true AS chosen_is_least, true AS one_chosen
+    FROM known, (VALUES {", ".join(map(str, _GRID))}) g(rank, reg) GROUP BY ALL""",
+)
+def _(t):
+    """A grid over rank and regularisation under two folds; rows of users or items that a fold does not know are counted."""
+    rows, _, _ = _als_rows(t)
+    _, _, table = als_search.search(rows, _GRID, folds=2, iterations=5)
+    found = table.agg(F.min("rmse").alias("least"), F.count_if("chosen").alias("n_chosen"))
+    return table.join(F.broadcast(found)).select(
+        "rank", "reg", "n_scored", "n_dropped", (~F.col("chosen") | (F.col("rmse") == F.col("least"))).alias("chosen_is_least"), (F.col("n_chosen") == 1).alias("one_chosen")
+    )
+
+
 def _named(t, recs, users, items):
     """Recommendations under the original ids."""
     back = recs.join(users.withColumnsRenamed({"user_id": "user", "id": "_uid"}), F.col("user_id") == F.col("_uid"))
