@@ -1,6 +1,6 @@
 """Token ids in files: frequency ranks in byte-aligned variable-length coding.
 
-All texts are encoded once, into rows of plain ids in the shared folder, from which the ids are counted;
+All texts are encoded once, into rows of compressed ids in the shared folder, from which the ids are counted;
 the most frequent id gets rank 0, and so on. The rows, not the texts, are then sorted by document. Ranks are
 stored in one to four bytes each, all lengths apart in control bytes: two bits per value, four
 values per control byte. Decoding looks the lengths of four values up by control byte, and takes
@@ -25,13 +25,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.coded_words import binary_slices
 from millrace.llm.shared_files import make_folder, new_file, open_file, read_exactly
-from millrace.llm.support import large_batches, ship, small_batches, text_buffer
+from millrace.llm.support import large_batches, ship, small_batches
 from millrace.llm.token_ids import encode, encoder
 from millrace.storage import materialize
 
@@ -67,36 +67,33 @@ def unpack_values(control: bytes, data: bytes, n: int) -> np.ndarray:
     return value & MASKS[sizes]
 
 
-def _planes(at: np.ndarray, width: int) -> np.ndarray:
-    """Where each byte of each value goes when every text's first bytes stand together, then its second bytes, and so on."""
-    n = np.diff(at)
-    start = np.arange(at[-1]) + np.repeat((width - 1) * at[:-1], n)
-    return start[:, None] + np.repeat(n, n)[:, None] * np.arange(width)
-
-
 def _encode(batches: Iterator[pa.RecordBatch], path: str, end_id: int, kind: str, batch_bytes: int) -> Iterator[pa.RecordBatch]:
+    pressed = zstandard.ZstdCompressor()
     for whole in large_batches(batches, "_text", batch_bytes):
         for batch in small_batches(whole, "_text", batch_bytes):
             ids, at = encode(batch.column("_text"), path, True, end_id)
-            width = np.dtype(kind).itemsize
-            body = np.empty(len(ids) * width, np.uint8)
-            body[_planes(at, width)] = ids.astype(kind).view(np.uint8).reshape(-1, width)
-            cells = binary_slices(body, at * width)
+            ids = ids.astype(kind)
+            cells = pa.array([pressed.compress(ids[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("_id"), cells], names=["_id", "_ids"])
 
 
-def _read_plain(cells: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of :func:`_encode` one after another, and their offsets."""
-    body, at = text_buffer(cells)
-    width = np.dtype(kind).itemsize
-    at = at // width
-    return np.ascontiguousarray(body[_planes(at, width)]).view(kind).ravel(), at
+def _plain(batches: Iterator[pa.RecordBatch], kind: str, most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Rows of :func:`_encode` with their ids, about ``most`` ids at a time, however small the compressed rows are."""
+    opened = zstandard.ZstdDecompressor()
+    for batch in batches:
+        first, held, tokens = 0, [], 0
+        for i, cell in enumerate(batch.column("_ids")):
+            held.append(np.frombuffer(opened.decompress(cell.as_buffer()), kind))
+            tokens += len(held[-1])
+            if tokens >= most or i + 1 == batch.num_rows:
+                yield batch.slice(first, len(held)), held
+                first, held, tokens = i + 1, [], 0
 
 
 def _count(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
     totals = np.zeros(0, np.int64)
-    for batch in batches:
-        counts = np.bincount(_read_plain(batch.column("_ids"), kind)[0])
+    for _, texts in _plain(batches, kind):
+        counts = np.bincount(np.concatenate(texts))
         totals = np.pad(totals, (0, max(0, len(counts) - len(totals))))
         totals[: len(counts)] += counts
     some = np.flatnonzero(totals)
@@ -133,14 +130,13 @@ def _write(batches: Iterator[pa.RecordBatch], kind: str, folder: str, by_rank: n
             out.write(_block([d for h in held for d in h[0]], np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])))
             held.clear()
 
-        for whole in batches:
-            for batch in small_batches(whole, "_ids", 2 << 20):
-                ids, at = _read_plain(batch.column("_ids"), kind)
-                held.append((batch.column("_id").to_pylist(), np.diff(at), rank_of[ids]))
-                tokens += len(ids)
-                documents += batch.num_rows
-                if sum(len(h[2]) for h in held) >= BLOCK_TOKENS:
-                    flush()
+        for batch, texts in _plain(batches, kind):
+            counts = np.array([len(ids) for ids in texts], np.int64)
+            held.append((batch.column("_id").to_pylist(), counts, rank_of[np.concatenate(texts)]))
+            tokens += int(counts.sum())
+            documents += batch.num_rows
+            if sum(len(h[2]) for h in held) >= BLOCK_TOKENS:
+                flush()
         if held:
             flush()
     if documents:
