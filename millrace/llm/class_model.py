@@ -6,6 +6,7 @@ Words are counted over all training documents. Those that make up at least one t
 are all that is broadcast. Every other word then goes to the class that suits the words it stood
 beside, summed over the whole corpus by a shuffle on the word. Counts and classes travel back to the
 blocks by a join; class bigrams are counted over all training tokens with their final classes.
+The texts themselves, as word numbers, are a file per block in the shared folder and never shuffled.
 
 Every word's count is discounted by a constant, Kneser and Ney's n1 / (n1 + 2 n2) of the words seen
 once and twice; what is taken off, over all words, is the count of one unknown word with a class of
@@ -20,6 +21,7 @@ and every score 0. An empty table gives an empty table. Other columns are not lo
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -27,16 +29,18 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from millrace.llm.coded_words import binary_slices, coded_words
+from millrace.llm.shared_files import make_folder, new_file, open_file
 from millrace.llm.support import extended, ship, small_batches, text_buffer
 from millrace.llm.vbyte_files import pack_values, unpack_values
 from millrace.llm.word_classes import ENTRY, exchange, nearest, rows_by_word
-from millrace.storage import materialize
+from millrace.storage import materialize, scratch_path
 
 GAPS = b" \t\n\x0b\x0c\r"
 FOLDS = 10
@@ -54,8 +58,9 @@ BASE = 0.1
 RESULTS = "held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _encode(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], block_bytes: int, folder: str) -> Iterator[pa.RecordBatch]:
     part, made = TaskContext.get().partitionId(), 0
+    pressed = zstandard.ZstdCompressor()
     held: list[pa.RecordBatch] = []
     size = 0
 
@@ -70,11 +75,15 @@ def _encode(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.
         with pa.ipc.new_stream(sink, out.schema) as writer:
             writer.write_table(out)
         body, offsets = text_buffer(found.words)
-        cells = [sink.getvalue().to_pybytes(), body.tobytes(), offsets.astype("<i4").tobytes()]
         number = (part << 32) + made
+        # A second try of the task writes files of its own; its rows name them.
+        path = f"{folder}/{number}-{uuid.uuid4().hex}"
+        with new_file(path) as file:
+            file.write(pressed.compress(sink.getvalue()))
+        cells = [pa.array([path]), *[pa.array([pressed.compress(c)], pa.binary()) for c in (body, offsets.astype("<i4"))]]
         made += 1
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array([number]), *[pa.array([c], pa.binary()) for c in cells]], names=["block", "texts", "body", "offsets"])
+        return pa.RecordBatch.from_arrays([pa.array([number]), *cells], names=["block", "path", "body", "offsets"])
 
     for batch in batches:
         for piece in small_batches(batch, "_text", block_bytes):
@@ -98,8 +107,9 @@ class Texts:
     text: np.ndarray
 
     @classmethod
-    def read(cls, data: bytes) -> Texts:
-        table = pa.ipc.open_stream(data).read_all()
+    def read(cls, path: str) -> Texts:
+        with open_file(path) as file:
+            table = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(file.read())).read_all()
         meta = table.schema.metadata
         first = np.frombuffer(meta[b"first"], "<i8")
         codes = unpack_values(meta[b"control"], meta[b"data"], int(first[-1])).astype(np.int64)
@@ -121,14 +131,15 @@ def before(values: np.ndarray, end: int) -> np.ndarray:
 
 
 def _words(row: dict) -> pa.BinaryArray:
-    return binary_slices(np.frombuffer(row["body"], np.uint8), np.frombuffer(row["offsets"], "<i4"))
+    opened = zstandard.ZstdDecompressor()
+    return binary_slices(np.frombuffer(opened.decompress(row["body"]), np.uint8), np.frombuffer(opened.decompress(row["offsets"]), "<i4"))
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n) of training tokens; the null word is the end of a text."""
     for batch in batches:
         for row in batch.to_pylist():
-            texts, words = Texts.read(row["texts"]), _words(row)
+            texts, words = Texts.read(row["path"]), _words(row)
             n = np.bincount(texts.codes[texts.training] + 1, minlength=len(words) + 1)
             some = np.flatnonzero(n[1:])
             yield pa.RecordBatch.from_arrays([words.take(pa.array(some)).cast(pa.string()), pa.array(n[1:][some], pa.int64())], names=["word", "n"])
@@ -159,7 +170,7 @@ def _pairs(batches: Iterator[pa.RecordBatch], frequent: pa.Array) -> Iterator[pa
 
     for batch in batches:
         for row in batch.to_pylist():
-            texts = Texts.read(row["texts"])
+            texts = Texts.read(row["path"])
             item = np.append(_items(_words(row), frequent), size - 1)[texts.codes]
             key, n = np.unique((before(item, size - 1) * size + item)[texts.training], return_counts=True)
             keys.append(key)
@@ -174,7 +185,7 @@ def _beside(batches: Iterator[pa.RecordBatch], frequent: pa.Array, of_item: np.n
     """(word, vector) of each other word of a block's training texts: classes before it and behind it."""
     for batch in batches:
         for row in batch.to_pylist():
-            texts, words = Texts.read(row["texts"]), _words(row)
+            texts, words = Texts.read(row["path"]), _words(row)
             items = _items(words, frequent)
             item = np.append(items, len(frequent) + 1)[texts.codes]
             klass = of_item[item]
@@ -212,13 +223,13 @@ def _entries(batches: Iterator[pa.RecordBatch], frequent: pa.Array) -> Iterator[
 
 
 def _heads(batches: Iterator[pa.RecordBatch], frequent: pa.Array, counts: np.ndarray, of_item: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """A block's texts, with counts and classes of its frequent words, as code -1."""
+    """Where a block's texts are, with counts and classes of its frequent words, as code -1."""
     known = np.append(counts, 0)
     for batch in batches:
         for row in batch.to_pylist():
             item = _items(_words(row), frequent)
             c, klass = known[item], np.where(item < len(frequent), of_item[item], -1)
-            head = pickle.dumps((row["texts"], c.astype("<i8"), klass.astype("<i2")))
+            head = pickle.dumps((row["path"], c.astype("<i8"), klass.astype("<i2")))
             cells = [pa.array([row["block"]]), pa.array([-1], pa.int32()), pa.nulls(1, pa.int64()), pa.array([head], pa.binary())]
             yield pa.RecordBatch.from_arrays(cells, names=["block", "code", "value", "head"])
 
@@ -228,8 +239,8 @@ def _regroup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: tuple | None = None
 
     def done() -> pa.RecordBatch:
-        number, texts, c, klass = held
-        return pa.RecordBatch.from_arrays([pa.array([number]), *[pa.array([x], pa.binary()) for x in (texts, c.tobytes(), klass.tobytes())]], names=["block", "texts", "counts", "classes"])
+        number, path, c, klass = held
+        return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([path]), *[pa.array([x.tobytes()], pa.binary()) for x in (c, klass)]], names=["block", "path", "counts", "classes"])
 
     for batch in batches:
         code = batch.column("code").to_numpy()
@@ -250,7 +261,7 @@ def _regroup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _token_values(row: dict, ends: int, classes: int) -> tuple[Texts, np.ndarray, np.ndarray]:
     """(texts, count, class) of all tokens; unknown words have the last class."""
-    texts = Texts.read(row["texts"])
+    texts = Texts.read(row["path"])
     c = np.append(np.frombuffer(row["counts"], "<i8"), ends)[texts.codes]
     klass = np.append(np.frombuffer(row["classes"], "<i2").astype(np.int64), classes if ends else -1)[texts.codes]
     return texts, c, np.where(klass < 0, classes + 1, klass)
@@ -338,7 +349,9 @@ def fit(
     ship(spark)
     name = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null"))
     docs = df.select(F.col(f"`{id_col}`").alias("_id"), (F.crc32(F.encode(name, "utf-8")) % folds == 0).alias("_held"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
-    blocks = materialize(docs.mapInArrow(partial(_encode, block_bytes=block_bytes), "block long, texts binary, body binary, offsets binary"), "lm_blocks")
+    folder = scratch_path(spark, "lm_texts")
+    make_folder(folder)
+    blocks = materialize(docs.mapInArrow(partial(_encode, block_bytes=block_bytes, folder=folder), "block long, path string, body binary, offsets binary"), "lm_blocks")
 
     counted = blocks.mapInArrow(_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     vocabulary = materialize(counted, "lm_vocabulary")
@@ -365,7 +378,7 @@ def fit(
     looked_up = entries.join(assigned.select("word", value.alias("value")), "word").select("block", "code", "value", F.lit(None).cast("binary").alias("head"))
     heads = blocks.mapInArrow(partial(_heads, frequent=frequent, counts=frequent_counts, of_item=of_item), looked_up.schema)
     rows = heads.union(looked_up).repartition("block").sortWithinPartitions("block", "code")
-    known = materialize(rows.mapInArrow(_regroup, "block long, texts binary, counts binary, classes binary"), "lm_known")
+    known = materialize(rows.mapInArrow(_regroup, "block long, path string, counts binary, classes binary"), "lm_known")
 
     table = np.zeros((classes + 2, classes + 2))
     summed = known.mapInArrow(partial(_transitions, ends=ends, classes=classes, discount=discount), "before int, klass int, n long").groupBy("before", "klass")
