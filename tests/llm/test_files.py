@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from hypothesis import given, settings
@@ -100,3 +101,12 @@ def test_bad_records_are_refused(old, new):
     assert old in record
     with pytest.raises(ValueError):
         warc.parse_record(record.replace(old, new))
+
+
+def test_rows_are_opened_a_bounded_number_of_ids_at_a_time():
+    """However well rows compress, and one row may have more than the bound."""
+    sizes = [1, 400, 400, 400, 5000, 1, 1]
+    cells = [zstandard.ZstdCompressor().compress(np.full(n, 7, "<u2")) for n in sizes]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(cells, pa.binary())], names=["_id", "_ids"])
+    parts = [(b.column("_id").to_pylist(), [len(x) for x in texts]) for b, texts in vbyte_files._plain([batch], "<u2", most=800)]
+    assert parts == [([0, 1, 2], [1, 400, 400]), ([3, 4], [400, 5000]), ([5, 6], [1, 1])]
