@@ -5,6 +5,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -31,21 +32,83 @@ def test_search_matches_all_products(spark):
     assert top_products(df.limit(0), F.col("_vec") % 50 == 0).count() == 0
 
 
-def test_tree_covers_and_prunes():
-    rng = np.random.default_rng(2)
-    points = np.floor(np.concatenate([rng.normal(c, 1, (400, 2)) for c in ([0, 0], [300, 10], [-200, 150])]) * 4)
-    tree = build_tree(np.arange(1200), points, leaf=16)
-    assert sorted(tree.ids.tolist()) == list(range(1200))
+def check_tree(tree, points, base=1.3, leaf=8):
+    """Every point once; covering by radius and by scale; children of one node further apart than their scale."""
+    assert sorted(map(tuple, tree.points.tolist())) == sorted(map(tuple, points.tolist()))
     for n in range(len(tree.radius)):
         inside = tree.points[tree.begin[n] : tree.end[n]]
-        assert np.sqrt(((inside - tree.centre[n]) ** 2).sum(1)).max() <= tree.radius[n] + 1e-9
-    queries = build_tree(np.arange(0, 1200, 40), points[::40], leaf=4)
-    best = Best(queries, 5, None)
+        far = np.sqrt(((inside - tree.centre[n]) ** 2).sum(1))
+        assert far.max() <= min(tree.radius[n], tree.scale[n]) + 1e-9
+        assert np.sqrt((inside**2).sum(1)).max() <= tree.norm[n] + 1e-9
+        children = np.arange(tree.first[n], tree.last[n])
+        if not len(children):
+            assert len(inside) <= leaf or tree.radius[n] == 0
+            continue
+        assert len(children) > 1 and (tree.centre[children] == tree.centre[n]).all(1).any()
+        assert (tree.scale[children] < tree.scale[n]).all() and (tree.scale[children] == tree.scale[children[0]]).all()
+        gaps = np.sqrt(((tree.centre[children][:, None] - tree.centre[children][None]) ** 2).sum(2))
+        assert gaps[~np.eye(len(children), dtype=bool)].min() > tree.scale[children[0]]
+
+
+def test_tree_of_the_embeddings_is_a_cover_tree():
+    rows = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    points = np.floor(np.array(rows["embedding"].to_pylist(), float) * 256)
+    tree = build_tree(rows["vec_id"].to_numpy(), points)
+    assert tree.depth() > 3
+    check_tree(tree, points)
+
+
+def test_tree_covers_and_prunes():
+    rng = np.random.default_rng(2)
+    centres = rng.normal(0, 300, (40, 64))
+    points = np.floor(np.concatenate([c + rng.normal(0, 5, (60, 64)) for c in centres] + [centres[:1]] * 30))
+    tree = build_tree(np.arange(len(points)), points)
+    check_tree(tree, points)
+    at = np.arange(0, len(points), 20)
+    queries = build_tree(at, points[at])
+    best = Best(queries, 5)
     assert dual_search(queries, tree, best) >= 10
+    assert best.scored < 0.5 * len(at) * len(points)  # more than half of all products are pruned
     scores = products(queries.points, points)
-    for at, rows in enumerate(best.rows):
-        own = int(queries.ids[at])
-        assert rows == sorted((-int(s), j) for j, s in enumerate(scores[at]) if j != own)[:5]
+    for i, rows in enumerate(best.rows):
+        own = int(queries.ids[i])
+        assert rows == sorted((-int(s), j) for j, s in enumerate(scores[i]) if j != own)[:5]
+
+
+def test_floors_carry_over_and_huge_vectors_are_compared():
+    rng = np.random.default_rng(5)
+    points = np.floor(rng.normal(0, 200, (400, 8)))
+    queries, tree = build_tree(np.arange(0, 400, 50), points[::50]), build_tree(np.arange(400), points)
+    first, again = Best(queries, 5), Best(queries, 5)
+    dual_search(queries, tree, first)
+    again = Best(queries, 5, first.floor)
+    dual_search(queries, tree, again)
+    assert again.rows == first.rows and again.scored <= first.scored
+    huge = np.array([[1e200, 0.0], [1e200, 1.0], [-1e200, 2.0]] * 5)
+    tree = build_tree(np.arange(15), huge)
+    best = Best(tree, 5)
+    dual_search(tree, tree, best)
+    own = tree.ids.tolist().index(2)
+    assert best.rows[own] == [(-(2**63 - 1), i) for i in (5, 8, 11, 14)] + [(2**63, 0)]
+
+
+def test_cells_are_dealt_until_they_are_blocks(spark):
+    """Half of the rows are one vector; a query id stands for two vectors, and rows are given twice."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in rng.normal(0, 1, 4)]) for i in range(1, 600)]
+    rows += [(1000 + i, [0.5, 0.5, 0.5, 0.5]) for i in range(1, 600)]
+    rows += [(50, [2.0, -1.0, 0.0, 1.0]), rows[99], rows[6]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in top_products(df, F.col("_vec") % 50 == 0, block_rows=150, query_rows=5, pivots=4).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], -r.score, r.vec_id))
+    usable = [(i, [int(np.floor(x * 256)) for x in v]) for i, v in rows]
+    want = {}
+    for q in {i for i, _ in rows if i % 50 == 0}:
+        own = {tuple(v) for i, v in usable if i == q}
+        best = sorted((-sum(a * b for a, b in zip(v, w)), j) for v in own for j, w in usable if j != q)[:5]
+        want[q] = [(n + 1, s, j) for n, (s, j) in enumerate(best)]
+    assert {q: sorted(v) for q, v in got.items()} == want
 
 
 def test_threads_by_hand(spark):
