@@ -209,12 +209,18 @@ def bounds(queries: Tree, q: int, data: Tree, xs: np.ndarray) -> np.ndarray:
         return np.minimum(np.minimum(by_centre, by_distance), norm * most) + slack
 
 
+def _spans(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers from each begin up to its end, one after another."""
+    lengths = end - begin
+    return np.repeat(end - np.cumsum(lengths), lengths) + np.arange(lengths.sum())
+
+
 def _first_floors(queries: Tree, data: Tree, best: Best, most: int = 256) -> None:
     """Floors from different points of the data, the centres of nodes that stand side by side; their rows come later."""
     wide = np.array([0])
     while True:
         inner = data.first[wide] < data.last[wide]
-        below = np.concatenate([wide[~inner], *[np.arange(data.first[n], data.last[n]) for n in wide[inner]]])
+        below = np.concatenate([wide[~inner], _spans(data.first[wide[inner]], data.last[wide[inner]])])
         if not inner.any() or len(below) > most:
             break
         wide = below
@@ -254,18 +260,17 @@ def dual_search(queries: Tree, data: Tree, best: Best) -> int:
         q_leaf = queries.first[q] == queries.last[q]
         wide = inner & (q_leaf | (data.radius[xs] >= queries.radius[q]))
         if wide.any():
-            opened = [np.arange(data.first[x], data.last[x]) for x in xs[wide]]
-            stack.append((q, np.concatenate([xs[~wide], *opened])))
+            stack.append((q, np.concatenate([xs[~wide], _spans(data.first[xs[wide]], data.last[xs[wide]])])))
         elif not q_leaf:
             stack += [(c, xs) for c in range(queries.first[q], queries.last[q])]
         else:
             order = np.argsort(-top)  # the best are taken first
-            for part in np.array_split(order, max(1, len(order) // 64)):
+            for part in np.array_split(order, max(1, len(order) // 512)):
                 some = part[~(top[part] < best.floor[mine].min())]
                 pruned += len(part) - len(some)
                 if not len(some):
                     continue
-                at = np.concatenate([np.arange(data.begin[x], data.end[x]) for x in xs[some]])
+                at = _spans(data.begin[xs[some]], data.end[xs[some]])
                 scores, ids = products(queries.points[mine], data.points[at]), data.ids[at]
                 best.scored += scores.size
                 for i, row in enumerate(scores):
