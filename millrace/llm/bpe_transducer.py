@@ -19,6 +19,7 @@ the name of a result, which it replaces.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import partial
@@ -29,9 +30,9 @@ import regex
 from pyspark.sql import DataFrame
 
 from millrace.llm.support import extended, kept_columns, ship, small_batches
-from millrace.llm.token_ids import WordCache, as_bytes, encode_by_word
+from millrace.llm.token_ids import WordCache, as_bytes, encode_by_word, gather
 
-MOST_STATES = 400_000
+MOST_STATES = 600_000
 MOST_WORDS = 300_000
 MOST_PAIRS = 400_000
 _loaded: dict[tuple[str, str], Codec] = {}
@@ -79,7 +80,7 @@ class Transducer:
                 queue.append(child)
         self.size = {rank: len(text) for text, rank in ranks.items()}
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.beside: dict[tuple[int, int], bool] = {}
+        self.beside: dict[int, bool] = {}
         self.suffixes: list[tuple[tuple[tuple[int, int], ...], tuple[int, ...]] | None] = [None] * len(self.children)
         self._reset()
 
@@ -87,7 +88,8 @@ class Transducer:
         # A state: trie node, the token before, and the last token at each later position (-1: not needed).
         self.states: list[tuple[int, int, tuple[int, ...]]] = [(0, -1, ())]
         self.number = {self.states[0]: 0}
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        #: By 256 * state + byte: the next state, times 256, and what is emitted.
+        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
         self.finals: list[tuple[int, ...] | None] = [()]
         if len(self.beside) > MOST_PAIRS:
             self.beside.clear()
@@ -145,42 +147,51 @@ class Transducer:
         end = len(last)
         at = self._step(node, byte)
         tokens, live = self.suffixes[at] or self._around(at)
+        beside = self.beside
         for rank, size in tokens:
             previous = last[end - size]
             if previous < 0:
                 if size == end and before < 0:
                     break
                 continue
-            fits = self.beside.get((previous, rank))
+            pair = previous << 32 | rank
+            fits = beside.get(pair)
             if fits is None:
-                fits = self.beside[previous, rank] = self._fits(previous, rank)
+                fits = beside[pair] = self._fits(previous, rank)
             if fits:
                 break
         else:
             raise ValueError("the ranks are not closed under merging")
         last.append(rank)
         # Walk back from all positions a later token may start from until the walks have met.
-        open_at, needed = {end - n for n in live}, set()
-        while len(open_at) > 1:
-            most = max(open_at)
-            needed.add(most)
-            open_at.remove(most)
-            open_at.add(most - self.size[last[most]])
-        (anchor,) = open_at
+        size, needed, anchor = self.size, bytearray(end + 1), end
+        for n in live:
+            needed[end - n] = 1
+        apart = len(live) - 1
+        while apart:
+            if needed[anchor]:
+                back = anchor - size[last[anchor]]
+                if needed[back]:
+                    apart -= 1
+                else:
+                    needed[back] = 1
+            anchor -= 1
+        while not needed[anchor]:
+            anchor -= 1
         emitted, back = [], anchor
         while back:
             emitted.append(last[back])
-            back -= self.size[last[back]]
+            back -= size[last[back]]
         while at and not self.children[at]:
             at = self.fail[at]
-        after = (at, last[anchor], tuple([last[p] if p in needed else -1 for p in range(anchor + 1, end + 1)]))
+        kept = () if anchor == end else tuple([t if n else -1 for t, n in zip(last[anchor + 1 :], needed[anchor + 1 :])])
+        after = (at, last[anchor], kept)
         number = self.number.get(after)
         if number is None:
             number = self.number[after] = len(self.states)
             self.states.append(after)
-            self.steps.append({})
             self.finals.append(None)
-        made = self.steps[state][byte] = number, tuple(emitted[::-1])
+        made = self.steps[state << 8 | byte] = number << 8, tuple(emitted[::-1])
         return made
 
     def _final(self, state: int) -> tuple[int, ...]:
@@ -196,14 +207,14 @@ class Transducer:
         if len(self.states) > MOST_STATES:
             self._reset()
         out: list[int] = []
-        state, steps = 0, self.steps
+        state, known = 0, self.steps.get
         for byte in text:
-            step = steps[state].get(byte) or self._make(state, byte)
-            state = step[0]
-            if step[1]:
-                out += step[1]
-        final = self.finals[state]
-        return out + list(self._final(state) if final is None else final)
+            step = known(state | byte) or self._make(state >> 8, byte)
+            state, emitted = step
+            if emitted:
+                out += emitted
+        final = self.finals[state >> 8]
+        return out + list(self._final(state >> 8) if final is None else final)
 
 
 def utf8_pending(text: bytes) -> int:
@@ -222,6 +233,12 @@ class StreamDecoder:
     def __init__(self, token: dict[int, bytes]):
         self.token = token
         self.steps: dict[bytes, dict[int, tuple[bytes, bytes]]] = {b"": {}}
+        #: Bytes of all tokens one after another, and the tokens that lead from no pending bytes to none.
+        texts = [token.get(i, b"") for i in range(max(token, default=-1) + 1)]
+        self.body = np.frombuffer(b"".join(texts), np.uint8)
+        self.length = np.array([len(t) for t in texts], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.whole = np.array([i in token and not utf8_pending(t) for i, t in enumerate(texts)], bool)
 
     def feed(self, ids: Iterable[int], pending: bytes = b"") -> tuple[bytes, bytes]:
         """(bytes of whole characters, what waits for more)."""
@@ -238,6 +255,23 @@ class StreamDecoder:
                 table = self.steps.setdefault(pending, {})
         return b"".join(out), pending
 
+    def text(self, ids: np.ndarray) -> bytes:
+        """All bytes of ``ids``. While no bytes wait, runs of whole tokens are one lookup in the table of bytes."""
+        loose = np.flatnonzero(~self.whole[ids])
+        out, done, pending = [], 0, b""
+        while done < len(ids):
+            if not pending:
+                nth = np.searchsorted(loose, done)
+                until = int(loose[nth]) if nth < len(loose) else len(ids)
+                run = ids[done:until]
+                out.append(gather(self.body, self.start[run], self.length[run]).tobytes())
+                done = until
+            if done < len(ids):
+                made, pending = self.feed([int(ids[done])], pending)
+                out.append(made)
+                done += 1
+        return b"".join([*out, pending])
+
 
 class Codec:
     def __init__(self, path: str, pattern: str):
@@ -253,8 +287,10 @@ class Codec:
         return self.transducer.encode(piece) if whole is None else [whole]
 
     def encode_text(self, text: bytes) -> bytes:
-        out, known = [], self.pieces
-        for piece in self.pattern.findall(text.decode()):
+        out, known, parts = [], self.pieces, self.pattern.findall(text.decode())
+        if len(parts) == 1:  # as a word, it is kept already
+            return as_bytes(known.get(parts[0]) or self.encode_piece(parts[0].encode()))
+        for piece in parts:
             ids = known.get(piece)
             if ids is None:
                 if len(known) > MOST_WORDS:
@@ -267,13 +303,14 @@ class Codec:
         return encode_by_word(texts, lambda batch: [self.encode_text(t) for t in batch], self.known, True, None)
 
     def decode(self, ids: Iterable[int]) -> bytes:
-        text, rest = self.decoder.feed(ids)
-        return text + rest
+        return self.decoder.text(np.asarray(ids, np.int64))
 
 
 def codec(path: str, pattern: str) -> Codec:
     """One per worker process and vocabulary."""
     if (path, pattern) not in _loaded:
+        # Millions of tuples without cycles: looking for cycles more rarely saves a fifth of the time.
+        gc.set_threshold(200_000, 50, 50)
         _loaded[path, pattern] = Codec(path, pattern)
     return _loaded[path, pattern]
 
@@ -301,7 +338,7 @@ def _round_trip(batches: Iterator[pa.RecordBatch], path: str, pattern: str, text
             for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
                 own = ids[a:b].tolist()
                 of_ids.append(hashlib.sha256(",".join([names[i] for i in own]).encode()).hexdigest())
-                of_bytes.append(hashlib.sha256(codec(path, pattern).decode(own)).hexdigest())
+                of_bytes.append(hashlib.sha256(codec(path, pattern).decode(ids[a:b])).hexdigest())
             columns = [*[batch.column(c) for c in keep], pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_bytes)]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256"])
 
