@@ -8,9 +8,11 @@ from millrace.functions import columns as fc
 from millrace.functions.strings import words
 from millrace.operators import aggregates as agg
 from millrace.operators.profile import schema_profile
+from millrace.operators.sketches import merge_sketches, quantile_sketches, sketched_quantiles
 from millrace.plans import derived
 from millrace.plans.catalog import query
 from millrace.session import TABLES
+from millrace.storage import materialize
 
 
 @query("agg_count_rows", "SELECT count(*) AS n_rows, 11 AS n_columns FROM lineitem")
@@ -368,3 +370,22 @@ _SCHEMAS = {
 )
 def _(t):
     return schema_profile({name: getattr(t, name) for name in TABLES})
+
+
+@query(
+    "agg_quantile_sketch",
+    """SELECT l_returnflag, l_linestatus, share, count(*) AS n, true AS within
+    FROM lineitem, (SELECT unnest([0.05::DOUBLE, 0.5::DOUBLE, 0.95::DOUBLE]) AS share) GROUP BY 1, 2, 3""",
+)
+def _(t):
+    """Sketches per flag, status and supplier are stored, then merged per flag and status; ranks are counted to prove them."""
+    keys = ["l_returnflag", "l_linestatus"]
+    stored = materialize(quantile_sketches(t.lineitem, [*keys, "l_suppkey"], "l_extendedprice"), "sketches")
+    read = materialize(sketched_quantiles(merge_sketches(stored, keys), keys, [0.05, 0.5, 0.95]), "sketched")
+    price = F.col("l_extendedprice").cast("double")
+    # Six groups by three shares.
+    ranks = t.lineitem.join(F.broadcast(read), keys).groupBy(*keys, "share", "n").agg(
+        F.count_if(price < F.col("value")).alias("below"), F.count_if(price <= F.col("value")).alias("upto")
+    )
+    within = (F.col("below") - 0.01 * F.col("n") <= F.col("share") * F.col("n")) & (F.col("upto") + 0.01 * F.col("n") >= F.col("share") * F.col("n"))
+    return ranks.select(*keys, "share", "n", within.alias("within"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.logs import log_fields
+from millrace.operators import dictionaries
 from millrace.operators.aggregates import spread_by_key, value_distribution
 from millrace.plans import derived
 from millrace.plans.catalog import query
@@ -94,7 +95,7 @@ def _(t):
     path = _path(t, "ratings")
     derived.ratings(t).select(line.alias("value")).write.text(path)
     fields = [("item_id", "bigint"), ("user_id", "bigint"), ("rating", "float"), ("ts", "bigint")]
-    records, rejects = text.parse_records(text.read_lines(t.spark, path), fields, sep="::")
+    records, rejects = text.store_parsed(text.read_lines(t.spark, path), _path(t, "parsed"), fields, sep="::")
     return records.select(F.lit("record").alias("kind"), "*").unionByName(
         rejects.select(F.lit("reject").alias("kind")), allowMissingColumns=True
     )
@@ -164,6 +165,31 @@ def _(t):
     return delimited.read_typed(t.spark, path, "name string, code int")
 
 
+_FIRST_LOAD = "1995-07-01"
+_LOADS = f"""WITH used AS (SELECT c_name AS name, min(CASE WHEN o_orderdate < DATE '{_FIRST_LOAD}' THEN 1 ELSE 2 END) AS load, count(*) AS n
+    FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_name)"""
+
+
+def _loads(t):
+    """Names of the customers of orders: of those before a date, and of all."""
+    named = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_name").alias("name"), "o_orderdate")
+    return named.filter(F.col("o_orderdate") < F.lit(_FIRST_LOAD).cast("timestamp_ntz")), named
+
+
+@query("sink_dictionary_grows", f"{_LOADS} SELECT name AS key, row_number() OVER (ORDER BY load, name) - 1 AS code, CAST(load AS INTEGER) AS version FROM used")
+def _(t):
+    path = _path(t, "growing_dictionary")
+    for version, load in enumerate(_loads(t), 1):
+        book = dictionaries.grow(load, "name", path, version)
+    return book
+
+
+@query("sink_dictionary_unseen", f"{_LOADS} SELECT name AS key, n FROM used WHERE load = 2")
+def _(t):
+    first, later = _loads(t)
+    return dictionaries.unseen(later, "name", dictionaries.grow(first, "name", _path(t, "first_dictionary"), 1))
+
+
 @query("sink_stream_table", f"WITH {derived.LOG_FIELDS} SELECT CASE WHEN bad THEN NULL ELSE status END AS status, count(*) AS n FROM logs GROUP BY 1")
 def _(t):
     lines = counts.watch_text(t.spark, derived.log_folder(t))
