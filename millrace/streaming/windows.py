@@ -26,12 +26,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from millrace.storage import ship_package
 from millrace.streaming.counts import step_of
 
 #: kind is "window" (``at``: its end) or "late" (``at``: start of the step).
 OUTPUT = "kind string, at timestamp, key string, n long"
 STATE = "steps array<long>, counts array<long>, total long, next_end long"
 PARTIAL = pa.schema([("step", pa.int64()), ("key", pa.string()), ("n", pa.int64()), ("seen", pa.timestamp("us", "UTC"))])
+COUNTS = pa.schema([PARTIAL.field(name) for name in ("step", "key", "n")])
 #: Partial counts that a task holds before it passes them on.
 MOST_HELD = 100_000
 
@@ -40,7 +42,7 @@ def _combined(batches: Iterator[pa.RecordBatch], most_held: int) -> Iterator[pa.
     """One row per step and key of a task's rows, and one that holds its newest time alone."""
 
     def summed(parts: list[pa.Table]) -> pa.Table:
-        return pa.concat_tables(parts).group_by(["step", "key"]).aggregate([("n", "sum")]).rename_columns(["step", "key", "n"])
+        return pa.concat_tables(parts).group_by(["step", "key"]).aggregate([("n", "sum")]).rename_columns(["step", "key", "n"]).cast(COUNTS)
 
     def passed(table: pa.Table) -> Iterator[pa.RecordBatch]:
         return pa.Table.from_arrays([*table.columns, pa.nulls(table.num_rows, PARTIAL.field("seen").type)], schema=PARTIAL).to_batches()
@@ -50,7 +52,8 @@ def _combined(batches: Iterator[pa.RecordBatch], most_held: int) -> Iterator[pa.
     for batch in batches:
         last = pc.max(batch.column("seen"))
         newest = last if newest is None or (last.is_valid and last.as_py() > newest.as_py()) else newest
-        held.append(pa.Table.from_batches([batch]).select(["step", "key", "n"]))
+        # Spark marks columns that hold no null, sums are not marked: one schema for both.
+        held.append(pa.Table.from_batches([batch]).select(["step", "key", "n"]).cast(COUNTS))
         if sum(t.num_rows for t in held) >= most_held:
             held = [summed(held)]
             if held[0].num_rows >= most_held // 2:
@@ -122,6 +125,7 @@ def _slide_windows(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState,
 def incremental_windows(stream: DataFrame, ts: str, key: Column, length: str, slide: str | None = None, delay: str = "0 seconds", most_held: int = MOST_HELD) -> DataFrame:
     """The unbounded table of complete windows per key, and of late counts, as ``OUTPUT``."""
     spark = stream.sparkSession
+    ship_package(spark)
     slide = slide or length
     step = step_of(spark, length, slide)
     seconds = spark.sql(f"SELECT CAST(TIMESTAMP'1970-01-01 00:00:00' + INTERVAL {length} AS LONG), CAST(TIMESTAMP'1970-01-01 00:00:00' + INTERVAL {slide} AS LONG)").first()

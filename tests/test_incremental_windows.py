@@ -1,14 +1,18 @@
 """Incremental windows: every advance against recounting, streams against brute force over restarts, late rows, state that goes."""
 
+import os
 import random
+import subprocess
+import sys
 from collections import Counter
 from datetime import datetime, timedelta, timezone
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
-from millrace.streaming.windows import advance, drain_incremental, incremental_windows, read_incremental
+from conftest import ROOT, rows
+from millrace.streaming.windows import _combined, advance, drain_incremental, incremental_windows, read_incremental
 
 
 @pytest.mark.parametrize("length, slide, step", [(6, 2, 2), (10, 4, 2), (4, 4, 4), (3, 6, 3)])
@@ -102,3 +106,34 @@ def test_state_goes_with_the_last_step(spark, tmp_path):
         progress = drain_incremental(incremental_windows(stream, "ts", F.col("key"), "600 seconds", "120 seconds"), folder)
         assert progress[-1]["stateOperators"][0]["numRowsTotal"] == 1
     assert read_incremental(spark, folder)[0].groupBy("key").count().filter("count = 5").count() == 2
+
+
+def test_counts_are_combined_over_many_batches():
+    """Sums meet further batches, whose columns Spark marks as holding no null."""
+    now = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    schema = pa.schema([pa.field("step", pa.int64()), pa.field("key", pa.string()), pa.field("n", pa.int64(), nullable=False), pa.field("seen", pa.timestamp("us", "UTC"))])
+    batches = [pa.RecordBatch.from_pydict({"step": [0, 0, 3600], "key": ["a", "b", None], "n": [1, 1, 1], "seen": [now] * 3}, schema) for _ in range(40)]
+    for most_held in (3, 8, 10**5):
+        found = Counter()
+        for part in _combined(iter(batches), most_held):
+            for row in part.to_pylist():
+                found[row["step"], row["key"]] += row["n"]
+        assert found == {(0, "a"): 40, (0, "b"): 40, (3600, None): 40, (None, None): 0}
+
+
+def test_workers_need_no_package(tmp_path):
+    """Workers that start elsewhere, without the package on their path."""
+    code = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from pyspark.sql import functions as F
+from millrace.session import build_session
+from millrace.streaming.windows import drain_incremental, incremental_windows, read_incremental
+spark = build_session("away", "local[2]", 2, spark__ui__enabled="false", spark__driver__host="127.0.0.1")
+spark.range(90).select(F.timestamp_seconds(F.col("id") * 60).alias("ts"), F.lit("a").alias("tag")).write.parquet("in")
+stream = spark.readStream.schema("ts timestamp, tag string").parquet("in")
+drain_incremental(incremental_windows(stream, "ts", F.col("tag"), "1 hour"), "out")
+print("windows", [r["n"] for r in read_incremental(spark, "out")[0].collect()])
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, capture_output=True, text=True, timeout=120)
+    assert "windows [60]" in done.stdout, done.stderr[-2000:]
