@@ -237,3 +237,15 @@ def test_map_counts_hits_below_the_tenth_place(spark, tables):
         want[k] = (len(own), pytest.approx(total / len(own), abs=2e-6))
     got = {r["k"]: (r["users"], r["map"]) for r in all_queries()["ev_map_at_k_deep"](spark, SF).collect()}
     assert got == want
+
+
+def test_fits_get_tasks_of_bounded_size(spark):
+    """A stored table in one file is spread over all cores, and over more tasks where rows are many."""
+    from millrace.storage import materialize, spread
+
+    stored = materialize(spark.range(3000).coalesce(1), "one_file")
+    assert stored.rdd.getNumPartitions() == 1
+    wide = spread(stored, "id", rows=100)
+    assert wide.rdd.getNumPartitions() == 30 and wide.rdd.glom().map(len).max() < 200
+    assert sorted(r[0] for r in wide.collect()) == list(range(3000))
+    assert spread(stored, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
