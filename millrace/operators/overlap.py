@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ranking import top_per_key
-from millrace.operators.similarity import _cosine, _pair_sums, _self_pairs
+from millrace.operators.similarity import _cosine, _pair_sums, _user_pair_sums, co_rated_sums
 from millrace.storage import materialize
 
 
@@ -33,20 +33,34 @@ def split_prefixes(ratings: DataFrame, min_pairs: int) -> tuple[DataFrame, DataF
     return materialize(prefix.select("user_id", "item_id", "rating"), "prefix"), rest
 
 
-def overlap_sums(ratings: DataFrame, min_pairs: int, block: int = 4096) -> DataFrame:
+def overlap_sums(ratings: DataFrame, min_pairs: int, block: int = 4096, wide: int = 20_000) -> DataFrame:
     """Sums over the common users of every item pair (item1 < item2) that has at least ``min_pairs`` of them.
 
-    Only pairs that meet in their prefixes are formed. A common user is in both prefixes, or in the rest
-    of the first item, or in the prefix of the first and the rest of the second; the last two are looked
-    up, at most ``2 * (min_pairs - 1)`` rows a candidate. So a hot user costs rows, not pairs.
+    While no user has more than ``wide`` ratings, all pairs of a user's items are summed where they meet,
+    and none is stored. Else only pairs that meet in their prefixes are formed; of the rest only rows of such
+    users stay outside, since a lookup for every candidate costs more than a narrow user's pairs. A common
+    user is in both prefixes, or in the rest of the first item, or in the prefix of the first and the rest of
+    the second; the last two are looked up, at most ``2 * (min_pairs - 1)`` rows a candidate. So a hot user
+    costs rows, not pairs.
     """
-    prefix, rest = split_prefixes(ratings, min_pairs)
+    rows = materialize(ratings.select("user_id", "item_id", "rating").dropna(), "known_ratings")
+    widest = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if widest <= wide:
+        return co_rated_sums(rows, min_pairs, block)
+    prefix, rest = split_prefixes(rows, min_pairs)
+    if min_pairs > 1:
+        # Any row of the rest may stand in the prefix as well.
+        sizes = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+        hot = materialize(sizes.filter(F.col("n") > wide).select("user_id"), "hot_users")
+        prefix = prefix.unionByName(rest.join(hot, "user_id", "left_anti"))
+        rest = materialize(rest.join(hot, "user_id", "left_semi").select("user_id", "item_id", "rating"), "hot_rest")
     per_user = prefix.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     largest = per_user.agg(F.max("n")).first()[0] or 0
-    met = _pair_sums(_self_pairs(prefix, per_user, largest, block))
+    met = _user_pair_sums(prefix, per_user, largest, block)
     if min_pairs <= 1:
         return met
-    met = materialize(met, "candidates")
+    # Common users outside are hot ones.
+    met = materialize(met.filter(F.col("n_pairs") >= min_pairs - min(hot.count(), min_pairs - 1)), "candidates")
 
     def side(df: DataFrame, item: str, rating: str) -> DataFrame:
         return df.select("user_id", F.col("item_id").alias(item), F.col("rating").alias(rating))

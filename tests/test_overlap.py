@@ -16,6 +16,14 @@ def test_overlap_matches_brute_force(spark, min_pairs, block):
     assert got == brute(data, min_pairs)
 
 
+@pytest.mark.parametrize("wide", [0, 20, 48])
+def test_hot_users_by_any_width(spark, wide):
+    for min_pairs in (1, 2, 3, 6):
+        data, df = make(spark, seed=min_pairs)
+        got = {(r["item1"], r["item2"]): (r["xy"], r["xx"], r["yy"], r["n_pairs"]) for r in overlap_sums(df, min_pairs, 7, wide).collect()}
+        assert got == brute(data, min_pairs)
+
+
 def test_thresholds_agree_with_all_pairs(spark):
     _, df = make(spark, seed=9)
     expect = [r for r in rows(item_cosine(df, min_pairs=3)) if r[2] > 0.9]

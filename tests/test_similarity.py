@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import defaultdict
 from itertools import combinations
 
@@ -43,6 +44,27 @@ def test_all_paths_match_brute_force(spark, min_pairs, limits):
     assert got == brute(data, min_pairs)
 
 
+@pytest.mark.parametrize("limits", [{"dense": 1e9}, {"dense": 0}, {"dense": 1e9, "block": 4}, {"dense": 1e9, "hot_rows": 5}, {"dense": 1e9, "block": 3, "hot_rows": 9, "per_task": 50, "heavy_rows": 20}])
+def test_stripes_match_brute_force(spark, limits):
+    data, df = make(spark, seed=5)
+    for min_pairs in (1, 3):
+        got = {(r["item1"], r["item2"]): (r["xy"], r["xx"], r["yy"], r["n_pairs"]) for r in co_rated_sums(df, min_pairs, **limits).collect()}
+        assert got == brute(data, min_pairs)
+
+
+def test_rare_pairs_do_not_travel_as_rows(spark):
+    """Most pairs meet once: behind the shuffle of lists there is no exchange of pairs, and tasks follow their number."""
+    rng = random.Random(4)
+    data = [(u, i, rng.randint(1, 5)) for u in range(300) for i in rng.sample(range(3000), 12)]
+    df = spark.createDataFrame(data, "user_id int, item_id int, rating int")
+    sums = co_rated_sums(df, 2, per_task=1000)
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(item1" in plan and not re.search(r"hashpartitioning\(item1#\d+, item2", plan)
+    assert sums.rdd.getNumPartitions() >= 8
+    got = {(r["item1"], r["item2"]): (r["xy"], r["xx"], r["yy"], r["n_pairs"]) for r in sums.collect()}
+    assert got == brute(data, 2)
+
+
 def test_cosine_hand_cases(spark):
     df = spark.createDataFrame(
         [(1, 1, 1), (1, 2, 1), (2, 1, 2), (2, 2, 2), (3, 3, 4), (3, 4, 2), (4, 5, 0), (4, 6, 3)], "user_id int, item_id int, rating int"
