@@ -198,6 +198,21 @@ def test_best_products_match_brute_force(spark, block):
     assert got == best_by_hand(queries, dict(vectors), 5)
 
 
+def test_search_raises_floors_from_block_to_block():
+    """A query block gives its best rows once, however many data blocks it meets."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    own, theirs = rng.normal(size=(30, 4)), rng.normal(size=(400, 4))
+    parts = [slice(a, a + 40) for a in range(0, 400, 40)]
+    cells = [{"_group": 0, "_ids": list(range(30)), "_vectors": own.ravel().tolist(), "_floors": [float("-inf")] * 30, "_others": list(range(400))[p], "_theirs": theirs[p].ravel().tolist()} for p in parts]
+    found = [b for b in recommend._search(5)(iter([pa.RecordBatch.from_pylist([c]) for c in cells]))]
+    assert sum(b.num_rows for b in found) == 150
+    want = best_by_hand({i: v.tolist() for i, v in enumerate(own)}, {i: v.tolist() for i, v in enumerate(theirs)}, 5)
+    assert {(r["id"], r["other"], r["score"]) for b in found for r in b.to_pylist()} == {(q, d, s) for q, d, _, s in want}
+
+
 @pytest.mark.parametrize("key", ["rec_topk", "rec_topk_users", "rec_topk_user_subset", "rec_topk_item_subset"])
 def test_registered_recommendations_rank_everything(spark, tables, monkeypatch, key):
     fit, models = similarity._als, []
