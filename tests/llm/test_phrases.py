@@ -96,6 +96,27 @@ def test_many_small_tries_and_blocks(spark):
     assert len(shards) >= 20 and built.groupBy("key").count().filter("count = 1").count() == 100
 
 
+def test_candidates_travel_as_numbers_in_few_lists(spark):
+    rng = random.Random(3)
+    texts = [("en", " ".join(f"word{rng.randrange(300)}" for _ in range(4000))) for _ in range(10)]
+    blocks = phrases.encode_blocks(spark.createDataFrame(texts, "lang string, text string").coalesce(1))
+    words = phrases.count_words(blocks, 10).filter(~F.col("key").endswith("\n"))
+    numbered, shards = phrases.build_tries(words, "lists")
+    ids = {r["key"]: r["id"] for r in numbered.collect()}
+    assert sorted(ids.values()) == list(range(300))
+    want = Counter((ids["en\n" + a], ids["en\n" + b]) for _, t in texts for a, b in zip(t.split(), t.split()[1:]))
+    for cells in (1, 64):
+        sent = list(phrases._level(blocks.toArrow().to_batches(), 1, 3, shards, cells, pa.int32(), phrases.Sizes()))
+        got, home = Counter(), {}
+        for row in pa.Table.from_batches(sent).to_pylist():
+            for left, right, n in zip(row["left"], row["right"], row["n"]):
+                got[left, right] += n
+                assert home.setdefault((left, right), row["cell"]) == row["cell"]
+        assert {k: n for k, n in got.items() if k[1] >= 0} == want
+        # A list per cell for the pairs and one for the words' own counts, however many pairs there are.
+        assert sum(b.num_rows for b in sent) <= 2 * cells and sum(b.nbytes for b in sent) < 17 * len(got) + 100 * cells
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "lang string, text string")
     whole, found = phrases.frequent_phrases(df)
