@@ -243,3 +243,19 @@ def test_holdout_and_folds(spark):
 def test_except_removes_duplicates(spark):
     all_rows = spark.createDataFrame([(1,), (1,), (2,)], "x int")
     assert rows(except_rows(all_rows, spark.createDataFrame([(2,), (2,)], "x int"))) == [(1,)]
+
+
+def test_except_is_one_aggregation_and_keeps_nulls(spark):
+    left = spark.createDataFrame([(1, None), (1, None), (None, "b"), (2, "c"), (3, None)], "`a.b` int, y string")
+    taken = spark.createDataFrame([(None, "b"), (2, "c"), (3, "z"), (9, "c")], "p int, q string")
+    got = except_rows(left, taken)
+    assert got.columns == ["a.b", "y"] and rows(got) == [(1, None), (3, None)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Aggregate") == 1
+
+
+def test_except_query_deals_pairs_out_by_measured_rows(spark):
+    from millrace.plans.catalog import all_queries
+
+    plan = all_queries()["set_except"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
