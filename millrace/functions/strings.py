@@ -19,14 +19,17 @@ def words(text: Column) -> Column:
 
 def adjacency_id(line: Column) -> Column:
     """Leading id of a blank-separated adjacency line; null when it is not a number."""
-    return F.get(tokens(line), F.lit(0)).try_cast("bigint")
+    return F.substring_index(F.ltrim(line), " ", 1).try_cast("bigint")
+
+
+def adjacency_tail(line: Column) -> Column:
+    """The tokens after the first one. Empty ones go: a cast that fails costs far more than one that does not."""
+    return F.slice(F.array_remove(F.split(line, " "), ""), F.lit(2), F.lit(2**30))
 
 
 def adjacency_neighbours(line: Column) -> Column:
     """The ids after the first one; tokens that are not numbers are left out."""
-    parts = tokens(line)
-    tail = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
-    return F.filter(F.transform(tail, lambda t: t.try_cast("bigint")), lambda v: v.isNotNull())
+    return F.array_compact(adjacency_tail(line).try_cast("array<bigint>"))
 
 
 def quoted_name(line: Column) -> Column:

@@ -4,21 +4,52 @@ from __future__ import annotations
 
 import itertools
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.strings import adjacency_id, adjacency_neighbours
+from millrace.functions.strings import adjacency_id, adjacency_neighbours, adjacency_tail
 from millrace.operators.aggregates import argmax
 from millrace.operators.joins import lookup_few
 from millrace.storage import materialize
 
 
+def lines_from_edges(edges: DataFrame, width: int = 512) -> DataFrame:
+    """Distinct (src, dst) edges as ``id neighbour neighbour ... `` lines, neighbours in ascending order.
+
+    A vertex fills one line per ``width`` consecutive ids among its neighbours, so no line is long and
+    no hub is one task's. Such groups mostly hold one or two edges: they are sorted and joined by
+    columns, since an aggregate of lists would keep an object for each. An edge without both ends has no line.
+    """
+
+    def lines(batches):
+        src = dst = np.empty(0, np.int64)
+        for batch in batches:
+            src, dst = np.concatenate([src, batch.column(0).to_numpy()]), np.concatenate([dst, batch.column(1).to_numpy()])
+            block = dst // width
+            starts = np.flatnonzero(np.r_[True, (src[1:] != src[:-1]) | (block[1:] != block[:-1])])
+            # The last line may go on in the next batch.
+            yield joined(src, dst, starts)
+            src, dst = src[starts[-1] :], dst[starts[-1] :]
+        if len(src):
+            yield joined(src, dst, np.array([0, len(src)]))
+
+    def joined(src, dst, bounds):
+        near = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(dst).cast(pa.string()))
+        ids = pa.array(src[bounds[:-1]]).cast(pa.string())
+        return pa.record_batch([pc.binary_join_element_wise(ids, pc.binary_join(near, " "), "", " ")], ["value"])
+
+    both = edges.select(F.col("src").cast("bigint"), F.col("dst").cast("bigint")).dropna()
+    dealt = both.repartition("src", F.col("dst") - F.pmod(F.col("dst"), F.lit(width))).sortWithinPartitions("src", "dst")
+    return dealt.mapInArrow(lines, "value string")
+
+
 def edges_from_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """``id neighbour neighbour ...`` lines as (src, dst); an id may fill several lines."""
-    pairs = lines.select(
-        adjacency_id(F.col(column)).alias("src"), F.explode(adjacency_neighbours(F.col(column))).alias("dst")
-    )
-    return pairs.filter(F.col("src").isNotNull())
+    tokens = lines.select(adjacency_id(F.col(column)).alias("src"), F.explode(adjacency_tail(F.col(column))).alias("dst"))
+    return tokens.select("src", F.col("dst").try_cast("bigint").alias("dst")).dropna()
 
 
 def vertices(edges: DataFrame, names: DataFrame, default: str = "Nobody") -> DataFrame:
@@ -28,6 +59,17 @@ def vertices(edges: DataFrame, names: DataFrame, default: str = "Nobody") -> Dat
     return named.select("id", F.coalesce("name", F.lit(default)).alias("name"))
 
 
+def named_edges(edges: DataFrame, names: DataFrame, default: str = "Nobody") -> DataFrame:
+    """(src, dst, src_name, dst_name): the edges with the names of both ends, or the default.
+
+    Both joins get plain exchanges of edges, so Spark can split a hub vertex.
+    """
+    for end in ("src", "dst"):
+        named = names.select(F.col("id").alias(end), F.col("name").alias(f"{end}_name"))
+        edges = edges.join(named, end, "left")
+    return edges.select("src", "dst", *[F.coalesce(f"{end}_name", F.lit(default)).alias(f"{end}_name") for end in ("src", "dst")])
+
+
 def degrees(edges: DataFrame) -> DataFrame:
     """Total degree (in + out) per vertex."""
     ends = edges.select(F.explode(F.array("src", "dst")).alias("id"))

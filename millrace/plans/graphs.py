@@ -23,12 +23,7 @@ levels AS (SELECT id, min(d) AS distance FROM bfs GROUP BY id)"""
     f"WITH {derived.GRAPH} SELECT src, dst, coalesce(a.name, 'Nobody') AS src_name, coalesce(b.name, 'Nobody') AS dst_name FROM edges LEFT JOIN names a ON src = a.id LEFT JOIN names b ON dst = b.id",
 )
 def _(t):
-    # Both stored, so that the two joins get plain exchanges and Spark can split a hub vertex.
-    edges = materialize(graph.edges_from_lines(derived.graph_lines(t)), "edges")
-    named = materialize(graph.vertices(edges, derived.graph_names(t)), "vertices")
-    src = named.select(F.col("id").alias("src"), F.col("name").alias("src_name"))
-    dst = named.select(F.col("id").alias("dst"), F.col("name").alias("dst_name"))
-    return edges.join(src, "src").join(dst, "dst").select("src", "dst", "src_name", "dst_name")
+    return graph.named_edges(graph.edges_from_lines(derived.graph_lines(t)), derived.graph_names(t))
 
 
 @query(

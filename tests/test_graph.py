@@ -59,3 +59,33 @@ def test_lines_to_edges_names_and_degrees(spark):
     assert rows(graph.most_connected(lines, names)) == [(5, 3, "FIVE")]
     assert graph.top_degrees(e, names, 2).count() == 2
     assert graph.connection_counts(lines).agg(F.sum("connections")).first()[0] == e.count()
+
+
+def test_lines_go_on_over_batches_and_hubs_get_many_lines(spark):
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    pairs = [(0, i) for i in range(1, 2000)] + [(i, 0) for i in range(1, 2000)] + [(7, 512), (7, -1), (-3, 5), (2**60, 2**60 + 1), (2**60, 2**60 + 511)]
+    try:
+        spark.conf.set(size, "7")
+        lines = [r.value for r in graph.lines_from_edges(edges(spark, [*pairs, (None, 4), (4, None)])).collect()]
+    finally:
+        spark.conf.set(size, before)
+    wanted = {}
+    for a, b in sorted(pairs):
+        wanted.setdefault((a, b // 512), [a]).append(b)
+    assert sorted(lines) == sorted(" ".join(map(str, ids)) + " " for ids in wanted.values())
+    assert rows(graph.edges_from_lines(spark.createDataFrame([(v,) for v in lines], "value string"))) == sorted(pairs)
+    assert graph.lines_from_edges(edges(spark, [])).count() == 0
+
+
+def test_lines_with_odd_tokens(spark):
+    odd = ["  5   6  7", "5 a 6", "5 1.5  99999999999999999999 7 ", "a 5", "5", " ", None, "-5 -6 +7"]
+    lines = spark.createDataFrame([(v,) for v in odd], "value string")
+    assert rows(graph.edges_from_lines(lines)) == [(-5, -6), (-5, 7), (5, 6), (5, 6), (5, 7), (5, 7)]
+    assert rows(graph.connection_counts(lines)) == [(-5, 2), (5, 4)]
+
+
+def test_names_of_both_ends(spark):
+    names = spark.createDataFrame([(5, "FIVE"), (6, None), (9, "NINE")], "id bigint, name string")
+    got = rows(graph.named_edges(edges(spark, [(5, 6), (6, 5), (7, 5), (7, 7)]), names))
+    assert got == [(5, 6, "FIVE", "Nobody"), (6, 5, "Nobody", "FIVE"), (7, 5, "Nobody", "FIVE"), (7, 7, "Nobody", "Nobody")]

@@ -91,3 +91,22 @@ def test_a_key_with_half_of_the_rows_is_split(spark, skewed_settings, name):
     whole.collect()
     text = whole._jdf.queryExecution().executedPlan().toString()
     assert "skew=true" in text, text
+
+
+def test_graph_lines_keep_no_object_for_a_list(spark):
+    for key in ("gr_build_edges", "gr_most_connected", "arr_explode", "arr_head_tail_size"):
+        assert "ObjectHashAggregate" not in plan_of(QUERIES[key](spark, SF)), key
+
+
+def test_a_hub_is_split_for_its_names(spark, skewed_settings):
+    from pyspark.sql import functions as F
+
+    from millrace.operators.graph import edges_from_lines, lines_from_edges, named_edges
+
+    hub = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 1000)
+    lines = lines_from_edges(spark.range(400_000).select(hub.alias("src"), F.col("id").alias("dst")))
+    names = spark.range(1000).select("id", F.col("id").cast("string").alias("name"))
+    whole = named_edges(edges_from_lines(lines), names).agg(F.max(F.xxhash64("src", "dst", "src_name", "dst_name")))
+    whole.collect()
+    text = whole._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in text, text
