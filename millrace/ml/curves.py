@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BINS = 15
@@ -38,24 +38,32 @@ def curve_points(histograms: DataFrame, bins: int = BINS, digits: int = 6) -> Da
     Point 0 accepts nothing, with the precision of the first bin that holds a row; the last accepts
     all. ``tpr`` is the recall as well. A share of nothing is null.
     """
-    every = histograms.groupBy("model").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q"))
-    every = every.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins))).alias("point"))
-    placed = histograms.select("model", (F.lit(bins) - F.col("bin")).alias("point"), "pos", "neg")
-    points = every.join(placed, ["model", "point"], "left").fillna(0, ["pos", "neg"])
-    # At most bins + 1 rows per model.
-    so_far = Window.partitionBy("model").orderBy("point").rowsBetween(Window.unboundedPreceding, 0)
-    later = Window.partitionBy("model").orderBy("point").rowsBetween(0, Window.unboundedFollowing)
-    sums = points.withColumns({"tp": F.sum("pos").over(so_far), "fp": F.sum("neg").over(so_far)})
+    # A bin counts in its own point and in all after it: at most bins x (bins + 1) rows per model, and no second scan.
+    counted = F.col("point") >= bins - F.col("bin")
+    sums = histograms.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins))).alias("point")).groupBy("model", "point").agg(
+        F.sum("pos").alias("p"), F.sum("neg").alias("q"),
+        F.sum(F.when(counted, F.col("pos")).otherwise(0)).alias("tp"), F.sum(F.when(counted, F.col("neg")).otherwise(0)).alias("fp"),
+    )
+    # Points before the first that accepts a row take its precision.
     precision = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
-    sums = sums.withColumn("precision", F.first(precision, ignorenulls=True).over(later))
+    listed = points_of_model(sums.withColumn("precision", precision), "point", "p", "q", "tp", "fp", "precision")
+    first = F.get(F.filter("points", lambda x: x["precision"].isNotNull()), F.lit(0))["precision"]
+    sums = listed.select("model", first.alias("first"), F.inline("points"))
     return sums.select(
         "model", "point", F.round((F.lit(bins) - F.col("point")) / bins, digits).alias("threshold"),
-        F.round(F.try_divide(F.col("fp"), F.col("q")), digits).alias("fpr"), F.round(F.try_divide(F.col("tp"), F.col("p")), digits).alias("tpr"), F.round("precision", digits).alias("precision"),
+        F.round(F.try_divide(F.col("fp"), F.col("q")), digits).alias("fpr"), F.round(F.try_divide(F.col("tp"), F.col("p")), digits).alias("tpr"),
+        F.round(F.coalesce("precision", "first"), digits).alias("precision"),
     )
 
 
+def points_of_model(points: DataFrame, *columns: str) -> DataFrame:
+    """(model, points): the few points of each model as one list, by the first of the columns."""
+    return points.groupBy("model").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("points"))
+
+
 def areas(points: DataFrame, digits: int = 6) -> DataFrame:
     """(model, area_roc) by trapezoids between the points; within half a bin's pairs of the exact area."""
-    last = Window.partitionBy("model").orderBy("point")
-    step = (F.col("fpr") - F.lag("fpr").over(last)) * (F.col("tpr") + F.lag("tpr").over(last)) / 2
-    return points.withColumn("step", step).groupBy("model").agg(F.round(F.sum("step"), digits).alias("area_roc"))
+    listed = points_of_model(points, "point", "fpr", "tpr").withColumn("n", F.size("points") - 1)
+    before, after = F.slice("points", F.lit(1), F.col("n")), F.slice("points", F.lit(2), F.col("n"))
+    steps = F.zip_with(before, after, lambda a, b: (b["fpr"] - a["fpr"]) * (b["tpr"] + a["tpr"]) / 2)
+    return listed.select("model", F.explode_outer(steps).alias("step")).groupBy("model").agg(F.round(F.sum("step"), digits).alias("area_roc"))

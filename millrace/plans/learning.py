@@ -6,7 +6,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.ml import curves, features, recommend, selection, trees
@@ -501,8 +500,10 @@ def _(t):
     found = {r["model"]: r["area_roc"] for r in curves.areas(points).collect()}
     exact = {m: BinaryClassificationEvaluator(rawPredictionCol=m).evaluate(scored) for m in models}
     agrees = F.create_map(*[F.lit(x) for m in models for x in (m, abs(found[m] - exact[m]) <= unsure[m] + 1e-4)])
-    steps = Window.partitionBy("model").orderBy("point")
-    checked = points.withColumn("up", F.coalesce((F.col("tpr") >= F.lag("tpr").over(steps)) & (F.col("fpr") >= F.lag("fpr").over(steps)), F.lit(True)))
-    ends = F.min(F.struct("point", "fpr", "tpr")), F.max(F.struct("point", "fpr", "tpr"))
-    return checked.groupBy("model").agg(F.count(F.lit(1)).alias("n_points"), F.first(agrees[F.col("model")]).alias("area_agrees"),
-        ((ends[0]["fpr"] + ends[0]["tpr"] == 0) & (ends[1]["fpr"] + ends[1]["tpr"] == 2)).alias("starts_and_ends"), F.bool_and("up").alias("rises"))
+    tpr, fpr = F.col("points")["tpr"], F.col("points")["fpr"]
+    ends = F.get("points", F.lit(0)), F.element_at("points", -1)
+    return curves.points_of_model(points, "point", "fpr", "tpr").select(
+        "model", F.size("points").cast("bigint").alias("n_points"), agrees[F.col("model")].alias("area_agrees"),
+        ((ends[0]["fpr"] + ends[0]["tpr"] == 0) & (ends[1]["fpr"] + ends[1]["tpr"] == 2)).alias("starts_and_ends"),
+        ((tpr == F.sort_array(tpr)) & (fpr == F.sort_array(fpr))).alias("rises"),
+    )

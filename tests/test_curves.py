@@ -41,3 +41,15 @@ def test_parts_add_up(spark):
 def test_rows_without_a_label_are_no_negatives(spark):
     df = spark.createDataFrame([(1.0, 0.9), (0.0, 0.1), (None, 0.95)], "label double, score double")
     assert rows(evaluate.curve_areas(evaluate.score_curve(df)))[0][0] == 1.0
+
+
+def test_points_before_the_first_row_take_its_precision(spark):
+    hist = spark.createDataFrame([("m", 1, 3, 1), ("m", 0, 0, 4), ("m", 3, 0, 0), ("none", 2, 0, 0)], "model string, bin int, pos long, neg long")
+    points = curves.curve_points(hist, bins=4)
+    assert rows(points.filter("model = 'm'").drop("model")) == [
+        (0, 1.0, 0.0, 0.0, 0.75), (1, 0.75, 0.0, 0.0, 0.75), (2, 0.5, 0.0, 0.0, 0.75), (3, 0.25, 0.2, 1.0, 0.75), (4, 0.0, 1.0, 1.0, 0.375),
+    ]
+    assert {r[3:] for r in rows(points.filter("model = 'none'"))} == {(None, None, None)}
+    assert rows(curves.areas(points)) == [("m", 0.9), ("none", None)]
+    plan = curves.areas(points)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
