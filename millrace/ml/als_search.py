@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import unit_hash
-from millrace.ml.recommend import als
+from millrace.ml.block_als import FactorModel
+from millrace.ml.recommend import Fits, fit_als
 from millrace.storage import materialize
 
 
@@ -30,7 +31,7 @@ def _errors(scored: DataFrame) -> tuple[float | None, int, int]:
 
 def search(
     ratings: DataFrame, candidates: Sequence[tuple[int, float]], folds: int = 2, iterations: int = 10, seed: int = 1, parallelism: int = 4
-) -> tuple[ALSModel, tuple[int, float], DataFrame]:
+) -> tuple[ALSModel | FactorModel, tuple[int, float], DataFrame]:
     """Fit every (rank, reg) on all folds but one and score that one; refit the best on all ratings.
 
     Ratings (``user_id`` int, ``item_id`` int, ``rating``) are stored once with their fold; fits run side by
@@ -40,14 +41,21 @@ def search(
     """
     stored = materialize(with_folds(ratings.select("user_id", "item_id", "rating"), folds), "folds")
 
+    training = [Fits(stored.filter(F.col("fold") != fold)) for fold in range(folds)]
+
     def one(job: tuple[int, float, int]) -> tuple[float | None, int, int]:
         rank, reg, fold = job
-        est = als(rank=rank, iterations=iterations, reg=reg, seed=seed).setColdStartStrategy("nan")
-        return _errors(est.fit(stored.filter(F.col("fold") != fold)).transform(stored.filter(F.col("fold") == fold)))
+        model = training[fold].fit(rank, iterations, reg, seed, cold="nan")
+        found = _errors(model.transform(stored.filter(F.col("fold") == fold)))
+        if isinstance(model, FactorModel):
+            model.release()
+        return found
 
     jobs = [(rank, reg, fold) for rank, reg in candidates for fold in range(folds)]
     with ThreadPool(min(parallelism, len(jobs))) as pool:
         found = pool.map(inheritable_thread_target(ratings.sparkSession)(one), jobs)
+    for fits in training:
+        fits.release()
     rows = []
     for i, (rank, reg) in enumerate(candidates):
         parts = found[i * folds : (i + 1) * folds]
@@ -61,7 +69,7 @@ def search(
     table = [(*r, i == best) for i, r in enumerate(rows)]
     schema = "rank int, reg double, rmse double, n_scored bigint, n_dropped bigint, chosen boolean"
     rank, reg = candidates[best]
-    model = als(rank=rank, iterations=iterations, reg=reg, seed=seed).fit(stored)
+    model = fit_als(stored, rank, iterations, reg, seed)
     return model, (rank, reg), ratings.sparkSession.createDataFrame(table, schema)
 
 

@@ -9,12 +9,16 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.ml.block_als import Blocks, FactorModel
 from millrace.operators.joins import lookup
 from millrace.operators.ranking import top_per_key, with_position
 from millrace.operators.similarity import item_cosine, nearest_vectors
 from millrace.storage import materialize
 
 BLOCK = 4096
+#: Ratings that the library's ALS holds in its ten blocks; beyond that they lie in shared files.
+ALS_ROWS = 20_000_000
+
 
 def als(rank: int = 10, iterations: int = 10, reg: float = 0.01, nonnegative: bool = False, seed: int = 1) -> ALS:
     """Explicit-rating ALS that drops pairs it cannot score.
@@ -36,6 +40,36 @@ def als(rank: int = 10, iterations: int = 10, reg: float = 0.01, nonnegative: bo
     )
 
 
+class Fits:
+    """Any number of ALS fits on one table of ratings (``user_id``, ``item_id`` int, ``rating``).
+
+    Up to ``most`` ratings the library's; beyond, and if ids are numbers from 0 on, fits of the same factorisation over
+    blocks in shared files (``block_als``), which are dealt once for all fits. ``release`` removes them.
+    """
+
+    def __init__(self, ratings: DataFrame, most: int = ALS_ROWS):
+        n, low, high = ratings.agg(F.count(F.lit(1)), F.min(F.least("user_id", "item_id")), F.max(F.greatest("user_id", "item_id"))).first()
+        self._ratings, self._blocks = ratings, Blocks(ratings) if n > most and low >= 0 and high < n else None
+
+    def fit(self, rank: int, iterations: int, reg: float, seed: int = 1, cold: str = "drop") -> ALSModel | FactorModel:
+        if self._blocks is not None:
+            return self._blocks.fit(rank, iterations, reg, seed, cold)
+        return als(rank=rank, iterations=iterations, reg=reg, seed=seed).setColdStartStrategy(cold).fit(self._ratings)
+
+    def release(self) -> None:
+        if self._blocks is not None:
+            self._blocks.release()
+
+
+def fit_als(ratings: DataFrame, rank: int, iterations: int, reg: float, seed: int = 1) -> ALSModel | FactorModel:
+    """One fit that drops pairs it cannot score."""
+    fits = Fits(ratings)
+    try:
+        return fits.fit(rank, iterations, reg, seed)
+    finally:
+        fits.release()
+
+
 def dense_ids(df: DataFrame, column: str) -> DataFrame:
     """Dictionary (``column``, ``id`` int) of the distinct values, of any type, numbered in order; stored."""
     values = df.select(column).filter(F.col(column).isNotNull()).distinct()
@@ -61,7 +95,7 @@ def neighbour_candidates(ratings: DataFrame, per_item: int = 20, min_pairs: int
     return met.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
 
 
-def score_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
+def score_pairs(model: ALSModel | FactorModel, pairs: DataFrame) -> DataFrame:
     """Predicted rating of given (user_id, item_id) pairs: two key joins with the factor tables."""
     users = model.userFactors.select(F.col("id").alias("_u"), F.col("features").alias("_uf"))
     items = model.itemFactors.select(F.col("id").alias("_i"), F.col("features").alias("_if"))
@@ -193,19 +227,19 @@ def _of(factors: DataFrame, only: DataFrame | None) -> DataFrame:
     return factors if only is None else factors.join(only.select("id"), "id", "left_semi")
 
 
-def top_items(model: ALSModel, k: int, only: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+def top_items(model: ALSModel | FactorModel, k: int, only: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """Top ``k`` of all items for every user, or for those in ``only(id)``: (user_id, item_id, rank, score)."""
     best = best_products(_of(model.userFactors, only), model.itemFactors, k, block)
     return best.select(F.col("id").alias("user_id"), F.col("other").alias("item_id"), "rank", "score")
 
 
-def top_users(model: ALSModel, k: int, only: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
+def top_users(model: ALSModel | FactorModel, k: int, only: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """Top ``k`` of all users for every item, or for those in ``only(id)``: (item_id, user_id, rank, score)."""
     best = best_products(_of(model.itemFactors, only), model.userFactors, k, block)
     return best.select(F.col("id").alias("item_id"), F.col("other").alias("user_id"), "rank", "score")
 
 
-def similar_factors(model: ALSModel, item: int, k: int = 10) -> DataFrame:
+def similar_factors(model: ALSModel | FactorModel, item: int, k: int = 10) -> DataFrame:
     """Items whose latent factors have the highest cosine with one item's (itself first)."""
     return nearest_vectors(model.itemFactors, "id", "features", item, k)
 

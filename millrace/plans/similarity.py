@@ -63,7 +63,7 @@ def _als_rows(t):
 
 
 def _als(rows):
-    return recommend.als(rank=10, iterations=10, reg=0.1).fit(rows)
+    return recommend.fit_als(rows, rank=10, iterations=10, reg=0.1)
 
 
 @query(
