@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ranking import top_per_key
-from millrace.operators.similarity import _cosine, _pair_sums, _user_pair_sums, co_rated_sums
+from millrace.operators.similarity import _cosine, _pair_sums, _user_pair_sums, stored_co_rated_sums
 from millrace.storage import materialize
 
 
@@ -46,7 +46,7 @@ def overlap_sums(ratings: DataFrame, min_pairs: int, block: int = 4096, wide: in
     rows = materialize(ratings.select("user_id", "item_id", "rating").dropna(), "known_ratings")
     widest = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if widest <= wide:
-        return co_rated_sums(rows, min_pairs, block)
+        return stored_co_rated_sums(rows, min_pairs, block)
     prefix, rest = split_prefixes(rows, min_pairs)
     if min_pairs > 1:
         # Any row of the rest may stand in the prefix as well.
@@ -56,11 +56,10 @@ def overlap_sums(ratings: DataFrame, min_pairs: int, block: int = 4096, wide: in
         rest = materialize(rest.join(hot, "user_id", "left_semi").select("user_id", "item_id", "rating"), "hot_rest")
     per_user = prefix.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     largest = per_user.agg(F.max("n")).first()[0] or 0
-    met = _user_pair_sums(prefix, per_user, largest, block)
     if min_pairs <= 1:
-        return met
+        return _user_pair_sums(prefix, per_user, largest, block)
     # Common users outside are hot ones.
-    met = materialize(met.filter(F.col("n_pairs") >= min_pairs - min(hot.count(), min_pairs - 1)), "candidates")
+    met = materialize(_user_pair_sums(prefix, per_user, largest, block, min_pairs - min(hot.count(), min_pairs - 1)), "candidates")
 
     def side(df: DataFrame, item: str, rating: str) -> DataFrame:
         return df.select("user_id", F.col("item_id").alias(item), F.col("rating").alias(rating))

@@ -7,6 +7,7 @@ from itertools import combinations
 import pytest
 
 from conftest import rows
+from millrace.operators import similarity
 from millrace.operators.similarity import co_rated_sums, item_cosine, nearest_vectors, similar_items
 
 
@@ -87,3 +88,14 @@ def test_nearest_vectors(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 1.0]), (4, [0.0, 0.0])], "id int, v array<double>")
     got = [tuple(r) for r in nearest_vectors(df, "id", "v", 1, k=4).collect()]
     assert got == [(1, 1.0), (2, 1.0), (3, round(1 / math.sqrt(2), 6)), (4, None)]
+
+
+@pytest.mark.parametrize("limits", [{}, {"hot_rows": 5}, {"block": 3, "heavy_rows": 20}])
+def test_pairs_in_waves_match_brute_force(spark, limits, monkeypatch):
+    """Lists of pairs come in waves, each stored before the next is formed."""
+    stored, keep = [], similarity.materialize
+    monkeypatch.setattr(similarity, "materialize", lambda df, label="stage": stored.append(label) or keep(df, label))
+    data, df = make(spark, seed=5)
+    got = {(r["item1"], r["item2"]): (r["xy"], r["xx"], r["yy"], r["n_pairs"]) for r in co_rated_sums(df, 3, dense=1e9, wave_pairs=1, **limits).collect()}
+    assert got == brute(data, 3)
+    assert stored.count("pair_sums") > 2 - bool(limits.get("heavy_rows"))
