@@ -33,7 +33,7 @@ def _located(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
-def _write(path: str, data) -> None:
+def write_file(path: str, data) -> None:
     """A whole file under its name, also if the task runs twice."""
     system, inner = _located(path)
     folder, _, name = inner.rpartition("/")
@@ -44,13 +44,13 @@ def _write(path: str, data) -> None:
     system.move(draft, inner)
 
 
-def _read(path: str) -> bytes:
+def read_file(path: str) -> bytes:
     system, inner = _located(path)
     with system.open_input_stream(inner, compression=None) as file:
         return file.read()
 
 
-def _drop(path: str) -> None:
+def drop_folder(path: str) -> None:
     from pyarrow import fs
 
     system, inner = _located(path)
@@ -61,7 +61,7 @@ def _drop(path: str) -> None:
 def _vectors(folder: str, block: int, rank: int):
     import numpy as np
 
-    return np.frombuffer(_read(f"{folder}/{block}"), np.float32).reshape(-1, rank)
+    return np.frombuffer(read_file(f"{folder}/{block}"), np.float32).reshape(-1, rank)
 
 
 def _by_block(ids, blocks: int):
@@ -102,7 +102,7 @@ def _packer(folder: str, blocks: int, ids: int) -> Callable:
         counts = np.bincount(own, minlength=len(range(block, ids, blocks)))
         out = io.BytesIO()
         np.savez(out, rating=rating.astype(np.float32), counts=counts, starts=starts, places=places.astype(np.int32), rows=(other[places] // blocks).astype(np.int32))
-        _write(f"{folder}/{block}", out.getbuffer())
+        write_file(f"{folder}/{block}", out.getbuffer())
         return pa.table({"block": pa.array([block], pa.int32()), "n": pa.array([len(own)], pa.int64())})
 
     return pack
@@ -117,7 +117,7 @@ def _starter(folder: str, blocks: int, ids: int, rank: int, seed: int) -> Callab
         for block in _block_ids(batches):
             v = np.random.default_rng([seed, block]).standard_normal((len(range(block, ids, blocks)), rank))
             v /= np.sqrt((v * v).sum(axis=1, keepdims=True))
-            _write(f"{folder}/{block}", v.astype(np.float32).tobytes())
+            write_file(f"{folder}/{block}", v.astype(np.float32).tobytes())
             yield _done(block)
 
     return start
@@ -163,7 +163,7 @@ def _solver(data: str, source: str, target: str, blocks: int, rank: int, reg: fl
         import numpy as np
 
         for block in _block_ids(batches):
-            held = np.load(io.BytesIO(_read(f"{data}/{block}")))
+            held = np.load(io.BytesIO(read_file(f"{data}/{block}")))
             places, rows, starts, counts = (held[c] for c in ("places", "rows", "starts", "counts"))
             met = np.empty((len(places), rank), np.float32)
             for other in range(blocks):
@@ -173,7 +173,7 @@ def _solver(data: str, source: str, target: str, blocks: int, rank: int, reg: fl
             known = np.flatnonzero(counts)
             out = np.full((len(counts), rank), np.nan, np.float32)
             out[known] = normal_solutions(met, held["rating"], counts[known], reg)
-            _write(f"{target}/{block}", out.tobytes())
+            write_file(f"{target}/{block}", out.tobytes())
             yield _done(block)
 
     return solve
@@ -266,7 +266,7 @@ class FactorModel:
     def release(self) -> None:
         """Removes the vectors' files; tables that were read from them stay."""
         for folder in self._folders.values():
-            _drop(folder)
+            drop_folder(folder)
 
 
 class Blocks:
@@ -307,8 +307,8 @@ class Blocks:
                 self._run(_solver(f"{self._root}/{own}", now[other], target, self._blocks, rank, reg))
                 now[own] = target
                 if old:
-                    _drop(old)
+                    drop_folder(old)
         return FactorModel(self._spark, now, self._blocks, self._sizes, rank, cold)
 
     def release(self) -> None:
-        _drop(self._root)
+        drop_folder(self._root)

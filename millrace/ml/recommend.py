@@ -9,11 +9,12 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.ml import block_als, product_search
 from millrace.ml.block_als import Blocks, FactorModel
 from millrace.operators.joins import lookup
 from millrace.operators.ranking import top_per_key, with_position
 from millrace.operators.similarity import item_cosine, nearest_vectors
-from millrace.storage import materialize
+from millrace.storage import materialize, scratch_path, ship_package
 
 BLOCK = 4096
 #: Ratings that the library's ALS holds in its ten blocks; beyond that they lie in shared files.
@@ -186,12 +187,13 @@ def _search(k: int) -> Callable:
 def best_products(queries: DataFrame, data: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
     """(id, other, rank, score): for each vector of ``queries(id, features)`` the ``k`` of all of ``data`` with the largest inner product.
 
-    Exact; among equals the smaller id first. Data vectors stand in blocks by falling norm. The first block gives every query
-    a floor, its ``k``-th score there; a later block is only searched for query blocks that hold a
-    query with |query| * (largest norm in the block) not below its floor. Queries are put into
-    blocks by that need. Vectors of nearly equal norm leave little to skip.
+    Exact; among equals the smaller id first. Data vectors stand in blocks by falling norm, a shared file each. The first block
+    gives every query a floor, its ``k``-th score there; a later block is only searched for queries with
+    |query| * (largest norm in the block) not below their floor. Queries are put into blocks by that need, and
+    a block of them reads the files it needs one after another. Vectors of nearly equal norm leave little to skip.
     """
     spark = queries.sparkSession
+    ship_package(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     doubles = F.col("features").cast("array<double>")
     norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda s, v: s + v * v))
@@ -212,14 +214,16 @@ def best_products(queries: DataFrame, data: DataFrame, k: int, block: int = BLOC
     floored = wanted.join(floors, "id").select("id", "features", "norm", F.col("_floor").alias("floor"))
     need = F.when(F.col("floor") > 0, F.col("floor") / F.col("norm")).otherwise(0.0)
     asked = materialize(_by_blocks(floored, [need, F.col("id")], block), "query_blocks")
-    # One number per block on both sides; the margin is far above the rounding of norms and scores.
-    reach = F.broadcast(blocks.filter("_block > 0").select(F.col("_block").alias("_other"), "_reach"))
-    pairs = materialize(asked.select("_block", "_need").join(reach, F.col("_reach") * (1 + 1e-9) >= F.col("_need")).select("_block", "_other"), "block_pairs")
+    # One number per block; those of the data fall from block to block.
+    folder = scratch_path(spark, "vector_files")
+    held = theirs.filter("_other > 0").mapInArrow(product_search.writer(folder), "block bigint")
+    materialize(held, "vector_files_written")
+    reach = [r["_reach"] for r in blocks.filter("_block > 0").select("_block", "_reach").orderBy("_block").collect()]
     # The data blocks of a query block come one after another, and each raises its floors for the next; few query blocks are dealt out in shares.
     shares = max(1, math.ceil(2 * spark.sparkContext.defaultParallelism / max(1, asked.count())))
-    pairs = pairs.withColumn("_group", F.col("_block") * shares + F.col("_other") % shares)
-    met = pairs.join(theirs, "_other").join(asked.select("_block", "_ids", "_vectors", "_floors"), "_block").repartition(parts, "_group").sortWithinPartitions("_group")
-    rest = materialize(met.select(*columns).mapInArrow(_search(k), out), "later_blocks")
+    groups = asked.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))).repartition(parts, "_block", "_share")
+    rest = materialize(groups.select("_share", "_ids", "_vectors", "_floors").mapInArrow(product_search.searcher(folder, reach, shares, k), out), "later_blocks")
+    block_als.drop_folder(folder)
     return top_per_key(found.unionByName(rest), ["id"], [F.desc("score"), F.col("other")], k)
 
 
